@@ -5,7 +5,8 @@ from __future__ import annotations
 
 def edit_script(source: list[str], target: list[str]) -> list[tuple[str, int, int]]:
     """``(operation, source index, target index)`` in ascending order. Common ends are left aside; going back from the
-    end, a deletion is taken before an insertion, and that before the diagonal."""
+    end, a deletion is taken where one is on a shortest path, else an insertion where its rest is shorter than the
+    diagonal's, else the diagonal."""
     head = 0
     while head < min(len(source), len(target)) and source[head] == target[head]:
         head += 1
@@ -25,7 +26,7 @@ def edit_script(source: list[str], target: list[str]) -> list[tuple[str, int, in
         if i and d[i][j] == d[i - 1][j] + 1:
             i -= 1
             ops.append(("delete", head + i, head + j))
-        elif j and d[i][j] == d[i][j - 1] + 1:
+        elif j and (not i or d[i][j - 1] < d[i - 1][j - 1]):
             j -= 1
             ops.append(("insert", head + i, head + j))
         else:
