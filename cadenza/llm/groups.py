@@ -81,56 +81,83 @@ def mixed_groups(df: DataFrame, row_id: str = "row_id", speaker: str = "speaker"
     return g.join(bad, "group_id").select(row_id, "group_id")
 
 
-def flow_split(bundles: list[tuple[str, int, int]], shares: dict[str, float], deviation: float = 4.0) -> dict[tuple[str, int], dict[str, int]]:
-    """Whole components of each bundle ``(label, size, count)`` for each split.
+def min_cost_flow(supply: dict[str, float], want: dict[str, float], deviation: float) -> dict[tuple[str, str], float]:
+    """Rows of each label for each split at the least total cost: 0 in the split of the label's name, 1 in another, and
+    ``deviation`` more beyond what a split wants. Successive shortest paths (Bellman-Ford) from the source over labels
+    and splits to the sink; a few nodes, as labels and splits are few."""
+    arcs: list[list] = []  # from, to, room, cost; arc k ^ 1 is the reverse of arc k
+    index: dict[tuple[str, str], int] = {}
+
+    def arc(a: tuple, b: tuple, room: float, cost: float) -> None:
+        arcs.append([a, b, room, cost])
+        arcs.append([b, a, 0.0, -cost])
+
+    source, sink = ("source",), ("sink",)
+    for label, rows in supply.items():
+        arc(source, ("label", label), rows, 0.0)
+        for s in want:
+            index[label, s] = len(arcs)
+            arc(("label", label), ("split", s), float("inf"), 0.0 if label in (s, "") else 1.0)
+    for s, rows in want.items():
+        arc(("split", s), sink, rows, 0.0)
+        arc(("split", s), sink, float("inf"), deviation)
+    while True:
+        dist, by = {source: 0.0}, {}
+        changed = True
+        while changed:
+            changed = False
+            for k, (a, b, room, cost) in enumerate(arcs):
+                if room > 1e-6 and a in dist and dist[a] + cost < dist.get(b, float("inf")) - 1e-9:
+                    dist[b], by[b], changed = dist[a] + cost, k, True
+        if sink not in dist:
+            break
+        path, at = [], sink
+        while at != source:
+            path.append(by[at])
+            at = arcs[by[at]][0]
+        push = min(arcs[k][2] for k in path)
+        for k in path:
+            arcs[k][2] -= push
+            arcs[k ^ 1][2] += push
+    return {key: arcs[k ^ 1][2] for key, k in index.items()}
 
-    A transport problem: bundles supply rows, splits want ``share`` of all rows. Moving a row from its label costs 1,
-    a row short of or beyond a wanted share costs ``deviation``. All rows start where they cost nothing; the shortest
-    augmenting paths of the residual graph run between the splits, so flow is pushed from splits beyond their share
-    to those short of it, whole components at a time and the largest first, as long as a push lowers the total cost.
-    """
+
+def flow_split(bundles: list[tuple[str, int, int]], shares: dict[str, float], deviation: float = 4.0) -> dict[tuple[str, int], dict[str, int]]:
+    """Whole components of each bundle ``(label, size, count)`` for each split: the min-cost flow of rows, rounded with the
+    largest components first, then moves of components between two splits as long as one lowers the total cost."""
     names = sorted(shares)
     total = sum(size * n for _, size, n in bundles)
-    scale = sum(shares.values()) or 1.0
+    scale = sum(shares.values())
     want = {s: total * shares[s] / scale for s in names}
-    flow = {(lab, size): dict.fromkeys(names, 0) for lab, size, _ in bundles}
+    supply: dict[str, float] = {}
+    for label, size, n in bundles:
+        supply[label] = supply.get(label, 0) + size * n
+    rest = min_cost_flow(supply, want, deviation)
+    flow = {(label, size): dict.fromkeys(names, 0) for label, size, _ in bundles}
     have = dict.fromkeys(names, 0)
-    roomy = lambda: max(names, key=lambda s: (want[s] - have[s], s))
-    for lab, size, n in sorted(bundles, key=lambda b: (-b[1], b[0])):
-        if lab in shares:
-            flow[lab, size][lab] += n
-            have[lab] += n * size
-        else:  # no label to keep: largest components first to the split that is shortest
-            for _ in range(min(n, 64)):
-                s = roomy()
-                flow[lab, size][s] += 1
-                have[s] += size
-            left = n - min(n, 64)
-            for s in names:
-                k = min(left, max(0, round((want[s] - have[s]) / size)))
-                flow[lab, size][s] += k
-                have[s] += k * size
-                left -= k
-            if left:
-                s = roomy()
-                flow[lab, size][s] += left
-                have[s] += left * size
+    for label, size, n in sorted(bundles, key=lambda b: (-b[1], b[0])):
+        while n:
+            s = max(names, key=lambda x: (rest[label, x], x))
+            k = min(n, max(1, int(rest[label, s] // size)))
+            flow[label, size][s] += k
+            rest[label, s] -= k * size
+            have[s] += k * size
+            n -= k
     gap = lambda s, h: deviation * abs(h - want[s])
 
-    def best_move() -> tuple[float, str, str, tuple[str, int], int] | None:
+    def best_move() -> tuple | None:
         best = None
         for a in names:
             for b in names:
                 if a == b:
                     continue
                 for key, put in flow.items():
-                    size = key[1]
                     if not put[a]:
                         continue
-                    over = min(have[a] - want[a], want[b] - have[b])
-                    k = max(1, min(put[a], int(over // size)))
-                    move = size * k * ((key[0] == a) - (key[0] == b))
-                    gain = gap(a, have[a]) + gap(b, have[b]) - gap(a, have[a] - size * k) - gap(b, have[b] + size * k) - move
+                    size = key[1]
+                    k = max(1, min(put[a], int(min(have[a] - want[a], want[b] - have[b]) // size)))
+                    moved = size * k * ((key[0] == a) - (key[0] == b))
+                    gain = gap(a, have[a]) + gap(b, have[b]) - gap(a, have[a] - size * k) - gap(b, have[b] + size * k) - moved
                     if gain > 1e-9 and (best is None or (gain, size) > (best[0], best[3][1])):
                         best = (gain, a, b, key, k)
         return best
@@ -158,7 +185,7 @@ def assign_splits(
     if not shares:
         raise ValueError("targets has no split with a positive share")
     g = materialize(related_groups(df, row_id, speaker, record_id, [split]))
-    by_label = g.groupBy("group_id", F.coalesce(F.col(split).cast("string"), F.lit("")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    by_label = g.groupBy("group_id", F.when(F.col(split).cast("string").isin(*shares), F.col(split).cast("string")).otherwise("").alias("label")).agg(F.count(F.lit(1)).alias("n"))
     parts = materialize(by_label.groupBy("group_id").agg(F.sum("n").alias("size"), F.max_by("label", F.struct("n", "label")).alias("label")))
     bundles = [(r["label"], r["size"], r["n"]) for r in parts.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n")).collect()]
     flow = flow_split(bundles, shares, deviation)

@@ -229,8 +229,7 @@ def _unify_one(df: DataFrame, source: str, new: str, vocabulary: DataFrame | Non
         .select("base", F.pandas_udf(_repair_batch, "string")("base", "tokens", "fixes").alias("__cz_fixed"))
     )
     repaired = (
-        dirty.withColumn("base", F.col("__cz_s.base"))
-        .join(fixed.withColumnRenamed("base", "__cz_base"), F.col("__cz_s.base") == F.col("__cz_base"), "left")
+        dirty.join(fixed.withColumnRenamed("base", "__cz_base"), F.col("__cz_s.base") == F.col("__cz_base"), "left")
         .withColumn("__cz_u", F.coalesce("__cz_fixed", F.col("__cz_s.base")))
     )
     keep = [F.col(c) for c in df.columns if c not in (new, "__cz_text")]

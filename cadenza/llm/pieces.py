@@ -73,15 +73,15 @@ _PIECES = "array<struct<start_ms:bigint,end_ms:bigint,at:int,n:int>>"
 
 
 def _pieces_batch(limit_ms: int, overlap_ms: int):
-    def run(starts: pd.Series, ends: pd.Series, lo: pd.Series, hi: pd.Series, reach: pd.Series, first: pd.Series) -> pd.Series:
+    def run(starts: pd.Series, ends: pd.Series, lo: pd.Series, hi: pd.Series, reach: pd.Series, least: pd.Series) -> pd.Series:
         out = []
-        for s, e, x, y, r, f in zip(starts, ends, lo, hi, reach, first, strict=True):
+        for s, e, x, y, r, f in zip(starts, ends, lo, hi, reach, least, strict=True):
             s, e = np.asarray(s, dtype=np.int64), np.asarray(e, dtype=np.int64)
             k = int(np.searchsorted(s, x))  # before it: what the overlap reaches back to
             marks = [int(x), *pack_chapter(s[k:], e[k:], int(x), int(y), limit_ms - overlap_ms, None if pd.isna(r) else int(r)), int(y)]
             cell = []
-            for i, (a, b) in enumerate(zip(marks, marks[1:], strict=False)):
-                a = a if f and i == 0 else max(a - overlap_ms, int(x)) if f else a - overlap_ms
+            for a, b in zip(marks, marks[1:], strict=False):
+                a = max(a - overlap_ms, int(f))
                 p, q = (int(v) for v in np.searchsorted(s, [a, b]))
                 cell.append({"start_ms": a, "end_ms": b, "at": p + 1, "n": q - p})
             out.append(cell)
@@ -189,7 +189,7 @@ def split_recordings(
     )
     cut = F.pandas_udf(_pieces_batch(limit_ms, overlap_ms), _PIECES)
     fits = grouped.filter("not oversized").withColumn("pieces", F.array(F.struct(F.col("lo").alias("start_ms"), F.col("hi").alias("end_ms"), F.lit(1).alias("at"), F.size("items").alias("n"))))
-    large = grouped.filter("oversized").withColumn("pieces", cut(F.col("items.s"), F.col("items.e"), F.col("lo"), F.col("hi"), F.col("reach"), F.col("lo") == F.col("rec_lo")))
+    large = grouped.filter("oversized").withColumn("pieces", cut(F.col("items.s"), F.col("items.e"), F.col("lo"), F.col("hi"), F.col("reach"), F.col("rec_lo")))
     said = lambda items: F.array_join(F.filter(items, lambda t: t != ""), " ")
     return (
         fits.select("key", "lo", "items", "oversized", "pieces")
