@@ -200,7 +200,8 @@ def _unify_one(df: DataFrame, source: str, new: str, vocabulary: DataFrame | Non
     clean = other.filter(F.size("__cz_s.suspects") == 0).withColumn("__cz_u", F.col("__cz_s.base")).drop("__cz_s")
     dirty = other.filter(F.size("__cz_s.suspects") > 0)
 
-    pairs = dirty.select(F.explode("__cz_s.suspects").alias("s")).select("s.*").distinct()
+    # written, so that its size is known before the join with the tokens of the whole corpus is planned
+    pairs = materialize(dirty.select(F.explode("__cz_s.suspects").alias("s")).select("s.*").distinct())
     wanted = pairs.select(F.lower("fix").alias("word")).distinct()
     if vocabulary is None:
         doubted = dirty.select(F.array_except(tokens_of(F.col("__cz_s.base")), F.transform("__cz_s.suspects", lambda s: F.lower(s["token"]))).alias("w"))
@@ -212,7 +213,8 @@ def _unify_one(df: DataFrame, source: str, new: str, vocabulary: DataFrame | Non
         )
     else:
         known = vocabulary.select(F.lower("word").alias("word"))
-    present = known.join(wanted, "word", "left_semi").distinct().withColumn("known", F.lit(True))
+    # an inner join: a semi join would be pushed below the distinct, and every token be shuffled
+    present = known.distinct().join(wanted, "word").withColumn("known", F.lit(True))
     accepted = (
         pairs.withColumn("word", F.lower("fix"))
         .join(present, "word", "left")
