@@ -247,7 +247,7 @@ def look_alike_pairs(df: DataFrame, id_col: str, text_col: str, salt_rows: int =
     holds a large group.
     """
     rows = df.select(F.col(id_col).alias("rid"), F.col(text_col).alias("raw")).filter(F.col("raw").isNotNull() & F.col("rid").isNotNull())
-    rows = unify(rows, {"raw": "form"}).filter(F.trim("form") != "").withColumn("form", F.md5("form"))
+    rows = unify(rows, {"raw": "form"}).filter(F.col("form").rlike(r"\S")).withColumn("form", F.md5("form"))
     spellings = rows.groupBy("form", F.md5("raw").alias("raw")).agg(F.count(F.lit(1)).alias("n"))
     several = spellings.groupBy("form").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("rows")).filter("k > 1")
     ranked = (
