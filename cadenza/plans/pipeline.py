@@ -12,6 +12,7 @@ from ..backends import Classifier, Transcriber, classify, transcribe
 from ..config import RunConfig
 from ..functions.paths import chunk_path
 from ..functions.text import fold, split_words
+from ..operators.audio import NoiseScorer, score_gaps
 from ..operators.dataset import phonemes_match
 from ..operators.lexicon import merge_lexicons, small
 from ..operators.offsets import drop_blank_tokens, joined_text
@@ -27,13 +28,14 @@ def recordings_to_segments(
     outdir: str,
     classifier: Callable[[], Classifier] | None = None,
     lexicon: DataFrame | None = None,
+    noise: Callable[[], NoiseScorer] | None = None,
 ) -> DataFrame:
     """``(audio, segment, offsets, text, wav_path, tsv_path)`` of the utterance table.
 
     Rows that aren't a child's are dropped before transcription if the run classifies; recordings whose transcription
     fails, is empty or lacks text or times are left out. ``segment`` counts all segments, so chunks too short leave
     holes. ``text`` is the whole recording's. One row is one recording of ordinary length; a continuous feed belongs
-    into the long-form operators.
+    into the long-form operators. Gaps keep their empty tag unless ``noise`` names them.
     """
     s = config.segmenter
     u = utterances.filter("ground_truth <> ''") if config.filter_empty_transcript else utterances
@@ -58,6 +60,13 @@ def recordings_to_segments(
     if config.do_noise_classify:
         rows = rows.withColumn("segments", F.transform("segments", lambda x: insert_tags(x, config.noise_classifier.minimum_empty_duration)))
     chunks = rows.select("audio", "text", F.posexplode("segments").alias("segment", "offsets")).filter(F.size("offsets") > 0)
+    if config.do_noise_classify and noise is not None:
+        chunks = materialize(chunks)
+        gaps = chunks.select("audio", "segment", F.posexplode("offsets").alias("pos", "o")).filter("o.text = '<EMPTY>'").select("audio", "segment", "pos", "o.start_time", "o.end_time")
+        found = score_gaps(gaps, noise, config.noise_classifier.threshold).groupBy("audio", "segment").agg(F.map_from_entries(F.collect_list(F.struct("pos", "label"))).alias("labels"))
+        named = lambda o, i: F.coalesce(F.concat(F.lit("<"), F.element_at("labels", i), F.lit(">")), o["text"])
+        tagged = F.transform("offsets", lambda o, i: F.struct(named(o, i).alias("text"), o["start_time"].alias("start_time"), o["end_time"].alias("end_time")))
+        chunks = chunks.join(found, ["audio", "segment"], "left").withColumn("offsets", F.when(F.col("labels").isNotNull(), tagged).otherwise(F.col("offsets"))).drop("labels")
     length = F.element_at("offsets", -1)["end_time"] * 1000 + EXTRA_MS - F.get("offsets", F.lit(0))["start_time"] * 1000
     chunks = chunks.filter(F.round(length, 3) >= s.minimum_chunk_duration * 1000).withColumn("offsets", shift_segment(F.col("offsets")))
     out = F.lit(outdir)

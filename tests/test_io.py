@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cadenza.backends import DictionaryG2P, classify, stride_plan, transcribe, wav_bytes, wav_duration, wav_samples
 from cadenza.config import RunConfig, SegmenterConfig, TranscriberConfig
 from cadenza.functions.text import aligner_form, aligner_form_text, number_words, phoneme_form, tokens, transcript_form
+from cadenza.operators import audio
 from cadenza.operators.lexicon import counts_by_word, lookup, merge_lexicons, missing_words, pronunciation_counts
 from cadenza.plans.pipeline import keep_matching, recordings_to_segments
 from cadenza.sources import readers, writers
@@ -153,6 +154,28 @@ def test_end_to_end(spark):
     assert transcribe(u, _Said).filter("offsets is null").count() == 1
 
 
+class _Noise:
+    def scores(self, audio, start, end):
+        return [("music", 0.6), ("bird", 0.6)] if end > 1.5 else [("music", 0.1)]
+
+
+def test_noise_labels(spark):
+    u = spark.createDataFrame([("d/en-us/kid_1.wav", "i", "en-us", "en", "x")], "audio string, id string, language_code string, language string, ground_truth string")
+    c = {"transcriber": {"type": "parakeet", "model": "m", "return_timestamps": "word"}, "segmenter": {"type": "silence", "silence_duration": 9.0}, "do_noise_classify": True, "noise_classifier": {"model": "n", "minimum_empty_duration": 0.1}}
+    r = recordings_to_segments(u, RunConfig.from_dict(c), _Said, "out", noise=_Noise).collect()
+    assert [[x["text"] for x in s["offsets"]] for s in r] == [["red", "<EMPTY>", "hat", "<bird>", "then"]]
+
+
+def test_cut_audio(spark, tmp_path):
+    (tmp_path / "a.wav").write_bytes(wav_bytes(np.linspace(-1, 1, 16_000)))
+    (tmp_path / "b.wav").write_bytes(b"no wave file")
+    files = audio.wav_contents(spark, str(tmp_path))
+    assert {r["audio"][-5:]: r["d"] for r in files.select("audio", audio.duration("content").alias("d")).collect()} == {"a.wav": 1.0, "b.wav": None}
+    chunks = spark.createDataFrame([(f"{tmp_path}/a.wav", 0, 0.0, 0.25), (f"{tmp_path}/a.wav", 1, 0.5, 0.99)], "audio string, segment int, start_time double, end_time double")
+    got = {r["segment"]: wav_duration(bytes(r["wav"])) for r in audio.cut_chunks(chunks, files).collect()}
+    assert got == {0: pytest.approx(0.3), 1: pytest.approx(0.5)}
+
+
 def test_matching_rows(spark):
     rows = spark.createDataFrame([(1, "in their day", "ɪn ðɛɹ deɪ"), (2, "in their day", "ɪn ðɛɹ"), (3, "in", "")], "id int, text string, said string")
     lex = spark.createDataFrame([("in", ["ɪ n", "ə n"]), ("their", ["ð ɛ ɹ"]), ("day", ["d eɪ"])], "word string, pronunciations array<string>")
@@ -172,3 +195,16 @@ def test_streaming(spark, tmp_path):
     q.stop()
     got = sorted((r["utt_id"], r["n"], r["end_time"].microsecond // 1000) for r in spark.sql("select * from segments").collect())
     assert got == [("u", 1, 500), ("u", 2, 800)]
+
+
+def test_command_line(spark, tmp_path):
+    import argparse
+
+    from cadenza.__main__ import build
+
+    rows = [("u", i, "x", float(i), i + 0.5, i) for i in range(4)]
+    spark.createDataFrame(rows, "utt_id string, pos bigint, text string, start_time double, end_time double, offset_id bigint").write.parquet(str(tmp_path / "o"))
+    a = argparse.Namespace(command="segment", input=str(tmp_path / "o"), silence=0.6, minimum=0.2)
+    assert [r["n"] for r in build(spark, a).collect()] == [4]
+    a.command = "periods"
+    assert build(spark, a).count() == 4
