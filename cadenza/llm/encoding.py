@@ -5,6 +5,9 @@ pairs and unescaping, a set of hashes keeps visited states out, and the cost of
 characters are next to each other. The cheapest reachable text is taken if it is cheaper than the original by more
 than its operations cost. The chain found for a run is then tried on the other runs of the same document, which lifts
 runs too short to tell by themselves.
+
+Between Cyrillic code pages, letters become letters, and a run alone says too little: there a document's words are
+divided into passages, each as it is or seen as one code page and written in another, by a shortest path over all words.
 """
 
 from __future__ import annotations
@@ -26,8 +29,28 @@ RUSSIAN = frozenset("абвгдеёжзийклмнопрстуфхцчшщъы
 QUOTES = frozenset("“”‘’")
 DASHES = frozenset("—–…")
 OP_COST = 0.3
+#: The pairs told by passages: a Cyrillic code page seen as another one, or as the Western one of its family.
+CYRILLIC = ("cp1251", "koi8_r", "cp866", "mac_cyrillic", "iso8859_5")
+PASSAGE_PAIRS = (
+    *((a, b) for a in CYRILLIC for b in CYRILLIC if a != b), *((a, b) for a in ("latin-1", "cp1252") for b in CYRILLIC), ("cp437", "cp866"), ("mac_roman", "mac_cyrillic"),
+)
+ENTER_COST, LEAVE_COST = 1.5, 0.3
+#: What follows each letter in Russian; other pairs are unlikely. The hard sign stands between consonants in Bulgarian.
+FOLLOWERS = {
+    "а": "бвгдежзийклмнпрстуфхцчшщюя", "б": "абвдеёиклнорсучшщъыьюя", "в": "авгдеёзиклмнопрстуцчшщъыьюя", "г": "авгдеёиклмнору", "д": "абвдеёжзиклмнопрстуцчшъыьюя",
+    "е": "бвгдеёжзийклмнопрстухцчшщюя", "ё": "бвгджзклмнпрстхчшщ", "ж": "абвгдеёжиклмноруь", "з": "абвгдеёжзиклмнорстуъыьюя", "и": "абвгдежзийклмнопрстуфхцчшщюя",
+    "й": "бвгдзклмнопрстфцчш", "к": "авеёиклмнопрстуцш", "л": "абвгдеёжзиклмнопстуфхчшщъыьюя", "м": "абвеёиклмнопрстуцчшщыьюя", "н": "авгдеёжзиклнорстуфхцчшщъыьюя",
+    "о": "абвгдеёжзийклмнопрстуфхцчшщэюя", "п": "аеёиклнопрстуцчшыьюя", "р": "абвгдеёжзиклмнопрстуфхцчшщъыьюя", "с": "абвгдеёжиклмнопрстуфхцчшщъыьюя", "т": "абвгдеёжзиклмнопрстуфхцчшщъыьюя",
+    "у": "абвгдежзийклмнопрстуфхцчшщюя", "ф": "аеёиклмнорстуфцчыьюя", "х": "авеиклмнопрстуш", "ц": "авеиклмоуыь", "ч": "авеёиклмнорстушь", "ш": "авеёиклмнопрстучь", "щ": "аевёинруь",
+    "ъ": "бвгдеёжзиклмнпрстчшщюя", "ы": "бвгдежзийклмнпрстухцчшщя", "ь": "бвгдеёзиклмнопрстуфхцчшщюя", "э": "вгдзйклмнпрстфх", "ю": "бвгджзйклмнпрстхцчшщ", "я": "бвгдежзийклмнпрстхцчшщюя",
+}
+_LIKELY = frozenset(a + b for a, bs in FOLLOWERS.items() for b in bs)
+#: Marks that are rare without being garbled, and those of them that also stand beside Russian words.
+RARE_MARKS = frozenset("«»№°§±µ·™©®")
+BESIDE = frozenset("«»№")
 
 _UTF8 = re.compile(rb"[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}")
+_WORD = re.compile(r"[^\x00-\x7f]+")
 _RUN = re.compile(r"[^\x00-\x7f]+|&(?:[A-Za-z]{2,8}|#\d{2,5}|#x[0-9a-fA-F]{2,4});")
 #: What every operation needs: two neighbouring non-ASCII characters, a replacement character or an entity.
 NEEDED = r"[^\x00-\x7F]{2}|\x{FFFD}|&(?:[A-Za-z]{2,8}|#[0-9]{2,5}|#x[0-9a-fA-F]{2,4});"
@@ -177,6 +200,103 @@ def search(run: str, before: str = " ", after: str = " ", limit: int = 60) -> tu
     return best, best_ops
 
 
+def word_cost(word: str, restored: bool) -> float:
+    """How implausible a word is as Russian. Letters of other languages and rare marks are no evidence that a word is
+    garbled (``restored`` false), but speak against a restored one."""
+    total = 0.0
+    kinds = [_KIND(c) for c in word]
+    low = word.lower()
+    # symbols are evidence beside letters, or where they are as varied as letters; lines and tables are neither
+    lettered = any(k in "rca" for k in kinds) or len(word) > 2 and all(k == "o" and c != d for c, d, k in zip(word, word[1:] + " ", kinds, strict=True))
+    odd = 0.1 if not restored and len(word) <= 5 and word.isupper() else 0.4  # of an abbreviation's pairs little is to be said
+    accents = 0
+    for i, (c, k) in enumerate(zip(word, kinds, strict=True)):
+        p = word[i - 1] if i else " "
+        n = word[i + 1] if i + 1 < len(word) else " "
+        pk = kinds[i - 1] if i else "s"
+        accents = accents + 1 if k == "a" else 0
+        if k in "xf":
+            total += 1.0
+        elif k == "o":
+            if c in RARE_MARKS:
+                total += 0.0 if not restored else 0.1 if c in BESIDE and not (p.isalpha() and n.isalpha()) else 0.7
+            elif lettered or restored:
+                total += 0.7
+        elif k in "qd":
+            total += 0.5 if p.isalpha() and n.isalpha() and (restored or c != "’") else 0.0
+        elif k == "c":
+            total += 1.0 if restored else 0.0
+        elif k == "a":
+            total += 1.0 if restored else 0.5 if accents > 2 else 0.0
+        elif k == "r" and pk == "r" and low[i - 1 : i + 1] not in _LIKELY:
+            total += odd if c != p else 0.0
+        elif k == "r" and c in "ьъыЬЪЫ" and not p.isalpha() and n.isalpha():
+            total += 0.3
+        if k in "rcagl" and pk in "rcagl" and pk != k and not (pk in "rc" and k in "rc"):
+            total += 1.0
+        if k in "rca" and c.isupper():
+            if p.islower():
+                total += 0.6 + (0.4 if n.isupper() and (i < 2 or not word[i - 2].isalpha()) else 0.0)
+            total += 0.03 if p.isupper() else 0.01 if len(word) == 1 else 0.0
+    return total
+
+
+@lru_cache(maxsize=200_000)
+def _readings(word: str) -> tuple[tuple[float, str], ...]:
+    """The cost and the text of a word as it is, then by each of the passage pairs; what a pair cannot read stays. Where the
+    search over runs has something better than the word as it is, that is its cost, and the word is left to the search."""
+    own = word_cost(word, False)
+    found, ops = search(word)
+    out = [(min(own, word_cost(found, False) + OP_COST * len(ops)) if ops and ops[-1].endswith("utf-8") else own, word)]
+    for a, b in PASSAGE_PAIRS:
+        t = undo_single(word, a, b)
+        out.append((own + 1.0, word) if t is None else (word_cost(t, True) + (0.0 if any(map(str.isalpha, word)) or len(word) > 2 else 0.05), t))
+    return tuple(out)
+
+
+def restore_passages(text: str) -> tuple[str, list[tuple[str, ...]]]:
+    """``text`` with the passages restored that were seen as one code page and written in another, and the pairs used.
+    Words that also hold ASCII letters are left as they are."""
+    words = [(m.start(), m.group()) for m in _WORD.finditer(text)]
+    words = [(a, w) for a, w in words if not (a and _letter(text[a - 1]) or a + len(w) < len(text) and _letter(text[a + len(w)]))]
+    if not words:
+        return text, []
+    readings = [_readings(w) for _, w in words]
+    if sum(r[0][0] for r in readings) <= ENTER_COST:
+        return text, []
+    n = len(PASSAGE_PAIRS) + 1
+    total = [0.0] + [ENTER_COST] * (n - 1)
+    came: list[list[int]] = []
+    for i, r in enumerate(readings):
+        if i:
+            best = min(range(n), key=total.__getitem__)
+            step = []
+            for s in range(n):
+                via = total[best] + (ENTER_COST if s else LEAVE_COST)
+                step.append(best if via < total[s] or s == 0 and via == total[s] else s)  # of equal paths the longest passage
+                total[s] = min(via, total[s])
+            came.append(step)
+        for s in range(n):
+            total[s] += r[s][0]
+    s = min(range(n), key=total.__getitem__)
+    path = [s]
+    for step in reversed(came):
+        s = step[s]
+        path.append(s)
+    path.reverse()
+    out, at, used = [], 0, set()
+    for (a, w), r, s in zip(words, readings, path, strict=True):
+        if r[s][1] != w:
+            out += [text[at:a], r[s][1]]
+            at = a + len(w)
+            used.add(f"{PASSAGE_PAIRS[s - 1][0]}>{PASSAGE_PAIRS[s - 1][1]}")
+    return "".join(out) + text[at:], [(u,) for u in sorted(used)]
+
+
+def _letter(c: str) -> bool:
+    return c.isascii() and c.isalpha()
+
+
 def _apply(run: str, ops: tuple[str, ...]) -> str | None:
     for op in ops:
         a, _, b = op.partition(">")
@@ -187,8 +307,7 @@ def _apply(run: str, ops: tuple[str, ...]) -> str | None:
     return run
 
 
-def restore(text: str) -> tuple[str, list[str], int]:
-    """``(text restored as far as can be, chains of operations used, replacement characters left)``."""
+def _restore_runs(text: str) -> tuple[str, list[tuple[str, ...]]]:
     runs = [(m.start(), m.end(), m.group()) for m in _RUN.finditer(text)]
     fixes: dict[int, str] = {}
     chains: dict[tuple[str, ...], int] = {}
@@ -198,9 +317,8 @@ def restore(text: str) -> tuple[str, list[str], int]:
         if ops and ops != ("unescape",):
             fixes[i] = fixed
             chains[ops] = chains.get(ops, 0) + 1
-    lost = text.count("�")
     if not fixes:
-        return text, [], lost
+        return text, []
     order = sorted(chains, key=lambda k: (-chains[k], k))
     for i, (a, b, run) in enumerate(runs):
         near = (text[a - 1] if a else " ", text[b] if b < len(text) else " ")
@@ -219,7 +337,15 @@ def restore(text: str) -> tuple[str, list[str], int]:
         out.append(text[at : runs[i][0]])
         out.append(fixes[i])
         at = runs[i][1]
-    return "".join(out) + text[at:], ["+".join(c) for c in sorted(chains)], lost
+    return "".join(out) + text[at:], sorted(chains)
+
+
+def restore(text: str) -> tuple[str, list[str], int]:
+    """``(text restored as far as can be, chains of operations used, replacement characters left)``."""
+    fixed, before = restore_passages(text)
+    fixed, chains = _restore_runs(fixed)
+    fixed, after = restore_passages(fixed) if chains else (fixed, [])
+    return fixed, ["+".join(c) for c in sorted({*before, *chains, *after})], text.count("�")
 
 
 def _restore_batch(text: pd.Series) -> pd.DataFrame:

@@ -1,6 +1,6 @@
 import pytest
 
-from cadenza.llm.encoding import restore, restore_encoding
+from cadenza.llm.encoding import PASSAGE_PAIRS, restore, restore_encoding
 
 SCHEMA = "doc_id bigint, text string, chains int, lost string"
 FRENCH = "L’été, déjà là — “garçon” où être naïf, crêpe brûlée à Noël."
@@ -31,6 +31,35 @@ def test_sound_texts(text):
     assert restore(text) == (text, [], 0)
 
 
+def _seen(text, written, seen):
+    return "".join(chr(b) if not (c := bytes([b]).decode(seen, "ignore")) else c for b in text.encode(written))
+
+
+@pytest.mark.parametrize("seen,written", PASSAGE_PAIRS)
+def test_cyrillic_code_pages(seen, written):
+    text = "Ещё карандаш для школы, где перебирать орехи и чайник. Я пришёл домой поздно; моя сестра Юля уже спала. Мы свистели."
+    bad = _seen(text, written, seen)
+    fixed, chains, lost = restore(bad)
+    assert fixed == text and chains and not lost
+
+
+def test_passages_in_sound_text():
+    sound = "Река течёт под мостом, и над ней кружит птица."
+    bad = _seen("Для печенье нужен сахар", "koi8_r", "cp1251")
+    assert bad.startswith("дМС РЕЮЕОШЕ")
+    assert restore(f"{sound} {bad}. {sound}")[0] == f"{sound} Для печенье нужен сахар. {sound}"
+    assert restore(f"Teacher: {bad}\nThe end")[0] == "Teacher: Для печенье нужен сахар\nThe end"
+
+
+@pytest.mark.parametrize("text", [
+    "МЧС, МВД, ФСБ, ВЦСПС, ЮНЕСКО, ЦСКА, НХЛ, ЖКХ, ЭВМ, ЧП, ВДНХ, ЦК ВЛКСМ", "Він читає книгу і їсть яблуко. Її ґанок. «Так» — є! Це світ.", "България, съм път към върха, ъгъл. Къща, мъж, дъжд.",
+    "Жыццё чытаць мова ў лесе. Гэты дзень, цяпло", "Љубав његова Ђорђе ћирилица џеп Јован", "«Да», — сказал он. №5, 20°С, § 12; 5 € ±3", "эхо аэропорт вьюга подъезд жюри Кыргызстан Цюрих Мкртчян Чжэцзян",
+    "ДОСТОПРИМЕЧАТЕЛЬНОСТЬ РОССИЙСКАЯ ФЕДЕРАЦИЯ", "═══ ║ да ║ ═══ │ ├──┼──", "ооо ыыы эээ ммм шш брр тсс", "à É ü", "Frоm dеsеrtѕіdе nеаr роnуѕ",
+])
+def test_sound_texts_of_other_kinds(text):
+    assert restore(text) == (text, [], 0)
+
+
 def test_rows(spark):
     rows = [(1, "plain"), (2, None), (3, ""), (4, "cafÃ©"), (4, "cafÃ©"), (5, "lost �"), (6, "x" * 100_000 + " dÃ©jÃ "), (7, RUSSIAN)]
     got = restore_encoding(spark.createDataFrame([(*r, 1, "l") for r in rows], SCHEMA)).collect()
