@@ -163,13 +163,13 @@ def truth_overlap(spark, d):
 
 @query()
 def word_overlap(spark, d):
-    """Sequence-matcher segments, in blocks of 4,096 words of a recording."""
+    """Sequence-matcher segments of recordings with a ground truth, each matched whole."""
     u = table(spark, d, "utterances").filter("ground_truth <> ''").groupBy("id").agg(F.max("ground_truth").alias("g")).select(F.col("id").alias("utt_id"), split_words(F.col("g")).alias("truth"))
-    o = blocked(_offsets(spark, d).join(u.select("utt_id"), "utt_id", "left_semi"))
+    o = _offsets(spark, d).join(u.select("utt_id"), "utt_id", "left_semi")
     item = F.struct("pos", "start_time", "end_time", "offset_id", "text")
-    nested = o.groupBy("utt_id", "block").agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: F.struct(x["text"].alias("text"), x["start_time"].alias("start_time"), x["end_time"].alias("end_time"))).alias("offsets"))
-    found = nested.join(u, "utt_id").select("utt_id", "block", F.posexplode(word_overlap_chunks(F.col("offsets"), F.col("truth"))).alias("segment", "s"))
-    return found.select("utt_id", "block", "segment", F.size("s").alias("n"), F.get("s", F.lit(0))["start_time"].alias("start_time"), joined_text(F.col("s")).alias("text"))
+    nested = o.groupBy("utt_id").agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: F.struct(x["text"].alias("text"), x["start_time"].alias("start_time"), x["end_time"].alias("end_time"))).alias("offsets"))
+    found = nested.join(u, "utt_id").select("utt_id", F.posexplode(word_overlap_chunks(F.col("offsets"), F.col("truth"))).alias("segment", "s"))
+    return found.select("utt_id", "segment", F.size("s").alias("n"), F.get("s", F.lit(0))["start_time"].alias("start_time"), joined_text(F.col("s")).alias("text"))
 
 
 @query(f"""WITH {_seg(0.3)}

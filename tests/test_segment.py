@@ -63,6 +63,19 @@ def test_word_overlap(spark):
     assert [[x["text"] for x in s] for s in got] == [["RED", "UMBRELLA"], ["JUST", "THE", "BEST"]]
 
 
+def test_word_overlap_of_a_long_recording(spark, tmp_path):
+    from cadenza.queries import word_overlap
+
+    n = BLOCK_ROWS + 900
+    said = [f"w{i}" for i in range(n)]
+    said[BLOCK_ROWS + 500] = "w4090"  # the beginning of the truth once more, behind a border
+    spark.createDataFrame([("a", i, w, float(i), i + 0.5, i) for i, w in enumerate(said)], LONG).write.parquet(str(tmp_path / "utt_offsets.parquet"))
+    truth = " ".join(f"w{i}" for i in range(BLOCK_ROWS - 6, BLOCK_ROWS + 5))
+    spark.createDataFrame([("a", truth)], "id string, ground_truth string").write.parquet(str(tmp_path / "utterances.parquet"))
+    got = [(r["utt_id"], r["n"], r["start_time"], r["text"]) for r in word_overlap(spark, str(tmp_path)).collect()]
+    assert got == [("a", 11, float(BLOCK_ROWS - 6), truth)]
+
+
 SOUNDS = [
     ("h", 0.16, 0.18), ("ɝ", 0.26, 0.28), (" ", 0.3, 0.34), ("ɹ", 0.36, 0.38), ("ɛ", 0.44, 0.46), ("d", 0.5, 0.52), (" ", 0.6, 0.64), ("ə", 0.72, 0.74), ("m", 0.76, 0.78), ("b", 0.82, 0.84),
     ("ɹ", 0.84, 0.88), ("ɛ", 0.92, 0.94), ("l", 0.98, 1.0), ("ə", 1.12, 1.14), (" ", 1.3, 1.34), ("ɪ", 1.4, 1.42), ("z", 1.44, 1.46), (" ", 1.52, 1.56), ("dʒ", 1.58, 1.6), ("ʌ", 1.66, 1.68),
