@@ -5,11 +5,12 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from ..functions.paths import chunk_path
 from ..functions.text import fold, phoneme_form, pronunciations_form
 from ..kernels.overlap import equal_blocks
-from .offsets import ORDER, blocked, running_total, with_previous
+from .offsets import ORDER, blocked, merge_on_delimiter, running_total, with_previous
 
 EXTRA_MS = 50
 
@@ -62,6 +63,16 @@ def label_tags(tags: DataFrame, scores: DataFrame, threshold: float, key: str =
     return named.withColumn("text", F.when(F.col("is_tag") & F.col("label").isNotNull(), F.concat(F.lit("<"), "label", F.lit(">"))).otherwise(F.col("text"))).drop("label")
 
 
+def phoneme_overlap_segments(sounds: DataFrame, variants: DataFrame, key: str = "utt_id", order: tuple[str, ...] = ORDER) -> DataFrame:
+    """``(key, first_word, n, start_time, end_time)``: runs of merged words whose sounds match the ground truth.
+    ``variants`` has ``key, m, j, heard``: a phoneme form of word ``j`` of the ``m`` words of the truth."""
+    words = merge_on_delimiter(sounds, F.coalesce(F.col("text") == " ", F.lit(False)), key, order).withColumn("heard", phoneme_form(F.col("text")))
+    m = words.withColumnRenamed("word", "i").join(variants, [key, "heard"]).filter("i < m and j >= i").select(key, "i", "start_time", "end_time").distinct()
+    # matches lie within the ground truth, so a recording has no more of them than its truth has words
+    r = m.withColumn("k", F.col("i") - F.row_number().over(W.partitionBy(key).orderBy("i")))
+    return r.groupBy(key, "k").agg(F.min("i").alias("first_word"), F.count(F.lit(1)).alias("n"), F.min_by("start_time", "i").alias("start_time"), F.max_by("end_time", "i").alias("end_time")).drop("k")
+
+
 # --- nested form, for recordings of ordinary length
 
 def silence_chunks(offsets: Column, silence_duration: float) -> Column:

@@ -15,7 +15,7 @@ from .operators.lexicon import long_lexicon, lookup, merge_lexicons, missing_wor
 from .operators.metrics import equalised_lexicon, error_counts, error_rate, punctuated
 from .operators.offsets import ORDER, blocked, clean_offsets, joined_text, merge_on_delimiter, running_total, shift
 from .operators.periods import continuous_periods, silences
-from .operators.segment import empty_tags, label_tags, long_chunks, segment_bounds, segment_manifest, silence_segments, word_overlap_chunks
+from .operators.segment import empty_tags, label_tags, long_chunks, normalised_lexicon, phoneme_overlap_segments, segment_bounds, segment_manifest, silence_segments, word_overlap_chunks
 from .runtime import table
 from .sources.readers import from_manifest
 
@@ -161,6 +161,37 @@ def truth_overlap(spark, d):
     return r.groupBy("utt_id", "k").agg(F.min("i").alias("first_word"), F.count(F.lit(1)).alias("n")).drop("k")
 
 
+@query(rf"""WITH {_O}, {_GT},
+form AS (SELECT DISTINCT word, regexp_replace(translate(p, '{DIACRITICS}', ''), '^\s+|\s+$', '', 'g') AS variant, p FROM (SELECT word, unnest(pronunciations) AS p FROM lexicon) WHERE word IS NOT NULL AND p IS NOT NULL),
+v AS (SELECT gt.utt_id, gt.j, gt.n, coalesce(form.variant, gt.word) AS variant FROM gt LEFT JOIN form ON form.word = gt.word),
+said AS (SELECT word, min(p) AS p FROM form GROUP BY word),
+x AS (SELECT o.*, CASE WHEN o.text = ' ' THEN [' '] ELSE list_filter(regexp_split_to_array(coalesce(said.p, lower(regexp_replace(o.text, '^\s+|\s+$', '', 'g')), ''), '\s+'), lambda t: t <> '') || [' '] END AS sounds
+      FROM o LEFT JOIN said ON said.word = lower(regexp_replace(o.text, '^\s+|\s+$', '', 'g')) WHERE o.utt_id IN (SELECT utt_id FROM gt)),
+y AS (SELECT utt_id, pos, start_time, end_time, offset_id, unnest(sounds) AS sound, unnest(range(0, len(sounds))) AS k FROM x),
+z AS (SELECT *, count(*) FILTER (sound = ' ') OVER (PARTITION BY utt_id ORDER BY pos, start_time, end_time, offset_id, k ROWS UNBOUNDED PRECEDING) AS g FROM y),
+w AS (SELECT utt_id, g, string_agg(sound, ' ' ORDER BY pos, start_time, end_time, offset_id, k) AS text, first(start_time ORDER BY pos, start_time, end_time, offset_id, k) AS start_time,
+        last(end_time ORDER BY pos, start_time, end_time, offset_id, k) AS end_time FROM z WHERE sound <> ' ' GROUP BY ALL),
+i AS (SELECT *, row_number() OVER (PARTITION BY utt_id ORDER BY g) - 1 AS i, regexp_replace(translate(text, '{DIACRITICS}', ''), '^\s+|\s+$', '', 'g') AS heard FROM w),
+m AS (SELECT DISTINCT i.utt_id, i.i, i.start_time, i.end_time FROM i JOIN v ON v.utt_id = i.utt_id AND v.variant = i.heard AND i.i < v.n AND v.j >= i.i),
+r AS (SELECT *, i - row_number() OVER (PARTITION BY utt_id ORDER BY i) AS k FROM m)
+SELECT utt_id, min(i) AS first_word, count(*) AS n, first(start_time ORDER BY i) AS start_time, last(end_time ORDER BY i) AS end_time FROM r GROUP BY utt_id, k""")
+def phoneme_overlap(spark, d):
+    """Long form of the phoneme overlap. The tables hold words, so each is said first: its least pronunciation, or itself
+    out of the lexicon, and a space; then sounds are merged to words and matched with the truth's variants."""
+    u = table(spark, d, "utterances").filter("ground_truth <> ''").groupBy("id").agg(F.max(fold(F.col("ground_truth"))).alias("g"))
+    gt = u.select(F.col("id").alias("utt_id"), split_words(F.col("g")).alias("ws")).select("utt_id", F.size("ws").alias("m"), F.posexplode("ws").alias("j", "word"))
+    lex = table(spark, d, "lexicon")
+    v = lookup(gt, normalised_lexicon(lex)).select("utt_id", "m", "j", F.explode("pronunciations").alias("heard"))
+    said = long_lexicon(lex).groupBy("word").agg(F.min("pronunciation").alias("p")).select("word", F.array("p").alias("pronunciations"))
+    o = _offsets(spark, d).join(gt.select("utt_id").distinct(), "utt_id", "left_semi").withColumn("word", fold(F.col("text")))
+    space = F.array(F.lit(" "))
+    o = lookup(o, said, fallback=lambda w: F.coalesce(w, F.lit("")))
+    sounds = F.when(F.col("text") == " ", space).otherwise(F.concat(split_words(F.get("pronunciations", F.lit(0))), space))
+    order = (*ORDER, "k")
+    o = o.select("utt_id", *ORDER, F.posexplode(sounds).alias("k", "text"))
+    return phoneme_overlap_segments(o, v, order=order)
+
+
 @query()
 def word_overlap(spark, d):
     """Sequence-matcher segments of recordings with a ground truth, each matched whole."""

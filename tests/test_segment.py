@@ -156,3 +156,25 @@ def test_containment_by_brute_force(spark):
     rows = got.select("i", "inner_text").collect()
     assert {tuple(r) for r in rows} == want
     assert len(rows) == len(want)
+
+
+def test_phoneme_overlap_in_long_form(spark):
+    from cadenza.operators.segment import phoneme_overlap_segments
+
+    sounds = spark.createDataFrame([("a", i, t, s, e, i) for i, (t, s, e) in enumerate(SOUNDS)], LONG)
+    variants = spark.createDataFrame([("a", len(VARIANTS), j, v) for j, vs in enumerate(VARIANTS) for v in vs], "utt_id string, m int, j int, heard string")
+    got = sorted((r["start_time"], r["end_time"], r["n"]) for r in phoneme_overlap_segments(sounds, variants).collect())
+    nested = one(spark, SOUNDS, lambda c: phoneme_overlap_chunks(c, F.array(*[F.array(*map(F.lit, vs)) for vs in VARIANTS])))
+    assert got and got == [(s[0]["start_time"], s[-1]["end_time"], len(s)) for s in nested]
+
+
+def test_phoneme_overlap_query_uses_the_lexicons_variants(spark, tmp_path):
+    from cadenza.queries import phoneme_overlap
+
+    # "read" and "red" differ as words and agree as sounds; "zork" is out of the lexicon
+    spark.createDataFrame([("a", i, t, float(i), i + 0.5, i) for i, t in enumerate(["red", " ", "Zork", "blue"])], LONG).write.parquet(str(tmp_path / "utt_offsets.parquet"))
+    spark.createDataFrame([("a", "read zork green")], "id string, ground_truth string").write.parquet(str(tmp_path / "utterances.parquet"))
+    lexicon = [("red", ["ɹ ɛ d"], "en"), ("read", ["ɹ iː d", "ɹ ɛː d"], "en"), ("blue", ["b l u"], "en"), ("green", ["ɡ ɹ i n"], "en")]
+    spark.createDataFrame(lexicon, "word string, pronunciations array<string>, language string").write.parquet(str(tmp_path / "lexicon.parquet"))
+    got = [(r["utt_id"], r["first_word"], r["n"], r["start_time"], r["end_time"]) for r in phoneme_overlap(spark, str(tmp_path)).collect()]
+    assert got == [("a", 0, 2, 0.0, 2.5)]
