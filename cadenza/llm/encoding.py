@@ -13,6 +13,7 @@ divided into passages, each as it is or seen as one code page and written in ano
 
 from __future__ import annotations
 
+import codecs
 import heapq
 import html
 import math
@@ -53,21 +54,15 @@ NEEDED = r"[^\x00-\x7F]{2}|\x{FFFD}|&(?:amp;)*(?:[A-Za-z]{2,8}|#[0-9]{2,5}|#x[0-
 
 
 @lru_cache(maxsize=None)
-def _byte_of(codec: str) -> dict[str, int]:
-    """Character to byte; bytes the codec leaves undefined stand for the control characters of their number."""
-    out = {}
-    for b in range(128, 256):
-        try:
-            out[bytes([b]).decode(codec)] = b
-        except UnicodeDecodeError:
-            out[chr(b)] = b
-    return out
+def _table(codec: str):
+    """The map of a single-byte codec from characters to bytes; bytes it leaves undefined stand for the control characters
+    of their number."""
+    return codecs.charmap_build("".join(bytes([b]).decode(codec, "ignore") or chr(b) for b in range(256)))
 
 
 def undo_utf8(text: str, codec: str) -> str | None:
     """``text`` with every stretch that is valid multi-byte UTF-8 in ``codec`` decoded, the rest as it is."""
-    table = _byte_of(codec)
-    raw = bytes(table.get(c, 0x3F) for c in text)
+    raw = codecs.charmap_encode(text, "replace", _table(codec))[0]
     out, at = [], 0
     for m in _UTF8.finditer(raw):
         out.append(text[at : m.start()])
@@ -87,10 +82,9 @@ def undo_double_byte(text: str, codec: str) -> str | None:
 
 def undo_single(text: str, seen_as: str, written_in: str) -> str | None:
     """``text`` re-decoded whole from one single-byte encoding to another."""
-    table = _byte_of(seen_as)
     try:
-        return bytes(table[c] for c in text).decode(written_in)
-    except (KeyError, UnicodeDecodeError):
+        return codecs.charmap_encode(text, "strict", _table(seen_as))[0].decode(written_in)
+    except UnicodeError:
         return None
 
 
@@ -263,16 +257,17 @@ class Plausibility:
                 heapq.heappush(heap, (c, n, t, (*ops, op)))
         return best, best_ops
 
-    def _readings(self, word: str, before: str, after: str) -> tuple[tuple[float, str], ...]:
-        """The cost and the text of a word as it is, then by each of the passage pairs; what a pair can't read stays. Where
-        the search over runs has something better than the word as it is, that is its cost, and the word is left to it."""
+    def _readings(self, word: str, before: str, after: str) -> tuple[float, tuple[tuple[float, str], ...]]:
+        """The most any reading gains, and the cost and the text of a word as it is, then by each of the passage pairs; what
+        a pair can't read stays. Where the search over runs has something better than the word as it is, that is its cost,
+        and the word is left to it."""
         found, ops = self.search(word, before, after)
         own = self.cost(word, before, after, True)
         out = [(self.cost(found, before, after) + OP_COST * len(ops) if ops else own, word)]
         for a, b in PASSAGE_PAIRS:
             t = undo_single(word, a, b)
             out.append((own + 1.0, word) if t is None else (own, word) if t == word else (self.cost(t, before, after) + WORD_COST, t))
-        return tuple(out)
+        return out[0][0] - min(c for c, _ in out), tuple(out)
 
 
 PRIOR = Plausibility()
@@ -300,16 +295,18 @@ def restore_passages(text: str, model: Plausibility) -> tuple[str, list[tuple[st
     if not words:
         return text, []
     edge = lambda i: symbol(text[i]) if 0 <= i < len(text) else " "
+    found = [model.readings(w, edge(a - 1), edge(a + len(w))) for a, w in words]
+    gains: dict[str, float] = {}
+    for (_, w), (gain, _) in zip(words, found, strict=True):
+        gains.setdefault(w, gain)
+    if sum(gains.values()) <= ENTER_COST:  # no path can gain more
+        return text, []
     readings = []
     told: set[str] = set()
-    for a, w in words:
-        r = model.readings(w, edge(a - 1), edge(a + len(w)))
+    for (_, w), (_, r) in zip(words, found, strict=True):
         # a word that is there again is no further evidence for a passage, only against one
         readings.append(tuple((max(c, r[0][0]), t) for c, t in r) if w in told else r)
         told.add(w)
-    # no path can gain more than all words at their best
-    if sum(max(0.0, r[0][0] - min(c for c, _ in r)) for r in readings) <= ENTER_COST:
-        return text, []
     n = len(PASSAGE_PAIRS) + 1
     total = [0.0] + [ENTER_COST] * (n - 1)
     came: list[list[int]] = []
@@ -355,7 +352,7 @@ def _apply(run: str, ops: tuple[str, ...]) -> str | None:
 
 def _restore_runs(text: str, model: Plausibility) -> tuple[str, list[tuple[str, ...]]]:
     runs = [(m.start(), m.end(), m.group()) for m in _RUN.finditer(text)]
-    near = lambda a, b: (text[a - 1] if a else " ", text[b] if b < len(text) else " ")
+    near = lambda a, b: (symbol(text[a - 1]) if a else " ", symbol(text[b]) if b < len(text) else " ")
     fixes: dict[int, str] = {}
     chains: dict[tuple[str, ...], int] = {}
     for i, (a, b, run) in enumerate(runs):
