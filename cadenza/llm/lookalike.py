@@ -3,7 +3,7 @@
 Per text: full-width forms become ordinary ones, letters and combining accents are joined (NFC), invisible
 characters go, every kind of space but the line breaks becomes an ordinary one. Then the script-aware repair:
 the dominant script of a token is decided by the letters that have no look-alike in the other scripts, and
-look-alikes are substituted in tokens that mix scripts, when the result exists in the corpus vocabulary.
+look-alikes are substituted in tokens that mix scripts, when, and only when, the result exists in the corpus vocabulary.
 """
 
 from __future__ import annotations
@@ -16,15 +16,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..operators.skew import join_hot
 from ..runtime import materialize
 
-# Letters of Cyrillic and Greek that look like a Latin letter.
+# Letters of other scripts that look like a Latin letter.
 CYRILLIC_LATIN = dict(zip("аеорсухіѕјһԁԛԝАВЕЅІЈКМНОРСТУХԌԚԜ", "aeopcyxisjhdqwABESIJKMHOPCTYXGQW", strict=True))
 GREEK_LATIN = dict(zip("αινορυΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aivopuABEZHIKMNOPTYX", strict=True))
-TO_LATIN = CYRILLIC_LATIN | GREEK_LATIN
+RARE_LATIN = dict(zip("ӏӀѵүѴҮγϲϳϹͿօսոհզՕՏԼՍ", "lIvyVYycjCJounhqOSLU", strict=True))
+TO_LATIN = CYRILLIC_LATIN | GREEK_LATIN | RARE_LATIN
 FROM_LATIN = {
     "CYRILLIC": {v: k for k, v in CYRILLIC_LATIN.items()},
     "GREEK": {v: k for k, v in GREEK_LATIN.items()},
+    "ARMENIAN": {},
 }
 
 INVISIBLE = [0x00AD, 0x034F, 0x061C, 0x180E, 0xFEFF, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), *range(0x2066, 0x2070), *range(0xFE00, 0xFE10)]
@@ -32,10 +35,15 @@ SPACES = [0x09, 0x0B, 0x0C, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
 FULL_WIDTH = {c: unicodedata.normalize("NFKC", chr(c)) for c in (*range(0xFF01, 0xFF5F), *range(0xFFE0, 0xFFE7))}
 _STAGE_ONE = FULL_WIDTH | dict.fromkeys(INVISIBLE) | dict.fromkeys(SPACES, " ")
 
-_FOREIGN_TOKEN = re.compile(r"[^\W_]*[Ͱ-ϿЀ-ԯ][^\W_]*")
+#: A token: letters, digits and the accents that could not be joined with them.
+_PART = r"(?:[^\W_]|[̀-ͯ])"
+_TOKEN = re.compile(rf"{_PART}+")
+_FOREIGN = re.compile(r"[Ͱ-ԯԱ-և]")
+_ASCII_TOKEN = re.compile(r"[A-Za-z]+")
 _LATIN = re.compile(r"[A-Za-zªºÀ-ɏɐ-ʯḀ-ỿ]")
 _CYRILLIC = re.compile(r"[Ѐ-ԯ]")
 _GREEK = re.compile(r"[Ͱ-Ͽἀ-῿]")
+_ARMENIAN = re.compile(r"[Ա-և]")
 _NOT_ASCII = r"[^\x00-\x7F]"
 SUSPECTS = "array<struct<token:string,fix:string,mixed:boolean>>"
 
@@ -54,6 +62,8 @@ def _script(c: str) -> str | None:
         return "CYRILLIC"
     if _GREEK.match(c):
         return "GREEK"
+    if _ARMENIAN.match(c):
+        return "ARMENIAN"
     return None
 
 
@@ -100,9 +110,11 @@ def suspects(base: str) -> list[tuple[str, str, bool]]:
     whole: str | None = ""
     # also a Latin token inside a text of another script
     has_foreign = False
-    for m in _FOREIGN_TOKEN.finditer(base):
+    tokens = set(_TOKEN.findall(base))
+    for token in sorted(tokens):
+        if not _FOREIGN.search(token):
+            continue
         has_foreign = True
-        token = m.group()
         letters = _letters(token)
         scripts = {s for _, s in letters}
         own = _exclusive(letters)
@@ -123,28 +135,23 @@ def suspects(base: str) -> list[tuple[str, str, bool]]:
     if has_foreign:
         whole = dominant_script(base) if whole == "" else whole
         if whole in FROM_LATIN:
-            for token in set(re.findall(r"(?<![^\W_])[A-Za-z]+(?![^\W_])", base)):
+            for token in sorted(t for t in tokens if _ASCII_TOKEN.fullmatch(t)):
                 if (fix := convert(token, whole)) and not _exclusive(_letters(token)):
                     found[token, fix] = False
     return [(t, f, mixed) for (t, f), mixed in found.items()]
 
 
-_TOKEN = re.compile(r"[^\W_]+")
-
-
 def repair(base: str, mapping: dict[str, str]) -> str:
     """``base`` with the tokens of ``mapping`` replaced, whole tokens only."""
     return _TOKEN.sub(lambda m: mapping.get(m.group(), m.group()), base) if mapping else base
 
 
 def choose(found: list[tuple[str, str, bool]], vocabulary) -> dict[str, str]:
-    """Which repairs hold: those whose result is in the vocabulary (lower case), for mixed tokens else the first
-    complete one, as no word mixes scripts."""
+    """Which repairs hold: those whose result is in the vocabulary (lower case)."""
     out: dict[str, str] = {}
-    for sure in (True, False):
-        for token, fix, mixed in found:
-            if token not in out and (fix.lower() in vocabulary if sure else mixed):
-                out[token] = fix
+    for token, fix, _ in found:
+        if token not in out and fix.lower() in vocabulary:
+            out[token] = fix
     return out
 
 
@@ -166,7 +173,7 @@ def _stage_one(text: pd.Series) -> pd.DataFrame:
 
 
 def _repair_batch(base: pd.Series, tokens: pd.Series, fixes: pd.Series) -> pd.Series:
-    return pd.Series([None if b is None else repair(b, dict(zip(t, f, strict=True))) for b, t, f in zip(base, tokens, fixes, strict=True)], dtype=object)
+    return pd.Series([b if b is None or t is None else repair(b, dict(zip(t, f, strict=True))) for b, t, f in zip(base, tokens, fixes, strict=True)], dtype=object)
 
 
 def tokens_of(text: Column) -> Column:
@@ -174,6 +181,11 @@ def tokens_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def _known_tokens(text: Column) -> Column:
+    """Lower-case tokens with the accents that could not be joined, as the vocabulary has them."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}\x{0300}-\x{036F}]+"), lambda w: w != "")
+
+
 def words(text: Column) -> Column:
     """Words of a text that is in the consistent form already; null gives an empty array."""
     return F.coalesce(tokens_of(text), F.array().cast("array<string>"))
@@ -182,10 +194,12 @@ def words(text: Column) -> Column:
 def unify(df: DataFrame, columns: dict[str, str], vocabulary: DataFrame | None = None) -> DataFrame:
     """``df`` with a column for each entry of ``columns`` (source column to new column) in the consistent form.
 
-    Texts of ASCII alone never leave the JVM. The rest goes through Arrow once and is written to the shared folder;
-    rows with tokens to repair, which are few, are joined with the accepted repairs by their text, the others by-pass
-    the join. The vocabulary is all tokens of all rows that are not under suspicion themselves, or the column ``word``
-    of ``vocabulary``. Null gives null, an empty or blank text stays one (of ordinary spaces); rows are neither
+    Texts of ASCII alone never leave the JVM. The rest goes through Arrow once and is written to the shared folder with a
+    number for each row; rows with tokens to repair, which are few, get the accepted repairs by that number, the others
+    by-pass the join. The vocabulary is all tokens of all rows that are not under suspicion themselves, and those of the
+    column ``word`` of ``vocabulary``; the repaired form of a token that mixes scripts counts too if a token spelled
+    otherwise is repaired to it as well, as then two damaged copies of one word have no clean copy. A token is repaired only
+    to what the vocabulary holds. Null gives null, an empty or blank text stays one (of ordinary spaces); rows are neither
     dropped nor added, repeated ones stay. New columns replace existing ones of the same name.
     """
     for source, new in columns.items():
@@ -196,66 +210,71 @@ def unify(df: DataFrame, columns: dict[str, str], vocabulary: DataFrame | None =
 def _unify_one(df: DataFrame, source: str, new: str, vocabulary: DataFrame | None) -> DataFrame:
     df = df.withColumn("__cz_text", F.col(source).cast("string"))
     ascii_rows = df.filter(F.col("__cz_text").isNull() | ~F.col("__cz_text").rlike(_NOT_ASCII)).withColumn("__cz_u", F.translate("__cz_text", "\t\x0b\x0c", "   "))
-    other = materialize(df.filter(F.col("__cz_text").rlike(_NOT_ASCII)).withColumn("__cz_s", F.pandas_udf(_stage_one, f"base string, suspects {SUSPECTS}")("__cz_text")))
-    clean = other.filter(F.size("__cz_s.suspects") == 0).withColumn("__cz_u", F.col("__cz_s.base")).drop("__cz_s")
+    other = df.filter(F.col("__cz_text").rlike(_NOT_ASCII)).withColumn("__cz_s", F.pandas_udf(_stage_one, f"base string, suspects {SUSPECTS}")("__cz_text"))
+    other = materialize(other.withColumn("__cz_row", F.monotonically_increasing_id()))
+    clean = other.filter(F.size("__cz_s.suspects") == 0).withColumn("__cz_u", F.col("__cz_s.base"))
     dirty = other.filter(F.size("__cz_s.suspects") > 0)
 
     # written, so that its size is known before the join with the tokens of the whole corpus is planned
-    pairs = materialize(dirty.select(F.explode("__cz_s.suspects").alias("s")).select("s.*").distinct())
-    wanted = pairs.select(F.lower("fix").alias("word")).distinct()
-    if vocabulary is None:
-        doubted = dirty.select(F.array_except(tokens_of(F.col("__cz_s.base")), F.transform("__cz_s.suspects", lambda s: F.lower(s["token"]))).alias("w"))
-        known = (
-            ascii_rows.select(tokens_of(F.col("__cz_u")).alias("w"))
-            .unionByName(clean.select(tokens_of(F.col("__cz_u")).alias("w")))
-            .unionByName(doubted)
-            .select(F.explode("w").alias("word"))
-        )
-    else:
-        known = vocabulary.select(F.lower("word").alias("word"))
+    pairs = materialize(dirty.select(F.explode("__cz_s.suspects").alias("s")).select("s.*", F.lower("s.fix").alias("word")).distinct())
+    wanted = pairs.select("word").distinct()
+    doubted = dirty.select(F.array_except(_known_tokens(F.col("__cz_s.base")), F.transform("__cz_s.suspects", lambda s: F.lower(s["token"]))).alias("w"))
+    known = (
+        ascii_rows.select(_known_tokens(F.col("__cz_u")).alias("w"))
+        .unionByName(clean.select(_known_tokens(F.col("__cz_u")).alias("w")))
+        .unionByName(doubted)
+        .select(F.explode("w").alias("word"))
+    )
+    if vocabulary is not None:
+        known = known.unionByName(vocabulary.select(F.lower("word").alias("word")))
     # an inner join: a semi join would be pushed below the distinct, and every token be shuffled
     present = known.distinct().join(wanted, "word").withColumn("known", F.lit(True))
-    accepted = (
-        pairs.withColumn("word", F.lower("fix"))
-        .join(present, "word", "left")
-        .filter(F.coalesce("known", F.lit(False)) | F.col("mixed"))
+    twice = pairs.filter("mixed").groupBy("word").agg(F.countDistinct(F.lower("token")).alias("k")).filter("k > 1").select("word", F.lit(True).alias("twice"))
+    accepted = materialize(
+        pairs.join(present, "word", "left")
+        .join(twice, "word", "left")
+        .filter(F.coalesce("known", F.lit(False)) | (F.col("mixed") & F.coalesce("twice", F.lit(False))))
         .groupBy("token")
-        .agg(F.min_by("fix", F.struct(F.coalesce("known", F.lit(False)).cast("int") * -1, F.col("fix"))).alias("fix"))
-    )
-    accepted = materialize(accepted)
-    texts = dirty.select(F.col("__cz_s.base").alias("base"), F.explode("__cz_s.suspects.token").alias("token")).distinct()
-    fixed = (
-        texts.join(accepted, "token")
-        .groupBy("base")
-        .agg(F.collect_list("token").alias("tokens"), F.collect_list("fix").alias("fixes"))
-        .select("base", F.pandas_udf(_repair_batch, "string")("base", "tokens", "fixes").alias("__cz_fixed"))
-    )
-    repaired = (
-        dirty.join(fixed.withColumnRenamed("base", "__cz_base"), F.col("__cz_s.base") == F.col("__cz_base"), "left")
-        .withColumn("__cz_u", F.coalesce("__cz_fixed", F.col("__cz_s.base")))
+        .agg(F.min_by("fix", F.struct(F.when(F.col("known"), 0).otherwise(1), F.col("fix"))).alias("fix"))
     )
+    spots = dirty.select("__cz_row", F.explode(F.array_distinct(F.transform("__cz_s.suspects", lambda s: s["token"]))).alias("token"))
+    fixes = join_hot(spots, accepted, ["token"], F.col("__cz_row")).groupBy("__cz_row").agg(F.collect_list("token").alias("__cz_tokens"), F.collect_list("fix").alias("__cz_fixes"))
+    mended = dirty.join(fixes, "__cz_row", "left").withColumn("__cz_u", F.pandas_udf(_repair_batch, "string")("__cz_s.base", "__cz_tokens", "__cz_fixes"))
     keep = [F.col(c) for c in df.columns if c not in (new, "__cz_text")]
-    parts = [x.select(*keep, F.col("__cz_u").alias(new)) for x in (ascii_rows, clean, repaired)]
+    parts = [x.select(*keep, F.col("__cz_u").alias(new)) for x in (ascii_rows, clean, mended)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _spelled(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(rid, form, raw)`` of texts that are neither null nor blank, form and text as hashes, and the forms of more
+    than one spelling with ``class_id, spellings, rows``."""
+    rows = df.select(F.col(id_col).alias("rid"), F.col(text_col).alias("raw")).filter(F.col("raw").isNotNull() & F.col("rid").isNotNull())
+    rows = materialize(unify(rows, {"raw": "form"}).filter(F.col("form").rlike(r"\S")).select("rid", F.md5("form").alias("form"), F.md5("raw").alias("raw")))
+    spelled = rows.groupBy("form", "raw").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("first"))
+    classes = spelled.groupBy("form").agg(F.min("first").alias("class_id"), F.count(F.lit(1)).alias("spellings"), F.sum("n").alias("rows")).filter("spellings > 1")
+    return rows, materialize(classes)
+
+
+def look_alike_classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, class_id, spellings, rows)``: the rows whose text has look-alikes that differ from it in their code points; a
+    class is all rows of one consistent form, its id the smallest id, with the number of its spellings and rows. Null and
+    blank texts and null ids take no part."""
+    rows, classes = _spelled(df, id_col, text_col)
+    return join_hot(rows.select("rid", "form"), classes, ["form"], F.col("rid")).select(F.col("rid").alias(id_col), "class_id", "spellings", "rows")
+
+
 def look_alike_pairs(df: DataFrame, id_col: str, text_col: str, salt_rows: int = 20_000) -> DataFrame:
     """``(a, b)`` with ``a < b``: rows whose texts differ in their code points and are equal in the consistent form.
 
-    Null and blank texts take no part. Only groups of more than one spelling are joined; in a group, rows of the
-    commonest spellings are salted by the group's size and rows of the rarer ones are copied to the salts, so no task
-    holds a large group.
+    Null and blank texts take no part. Only classes of more than one spelling are joined; in a class, rows of the
+    commonest spellings are salted by the class's size and rows of the rarer ones are copied to the salts, so no task
+    holds a large class.
     """
-    rows = df.select(F.col(id_col).alias("rid"), F.col(text_col).alias("raw")).filter(F.col("raw").isNotNull() & F.col("rid").isNotNull())
-    rows = unify(rows, {"raw": "form"}).filter(F.col("form").rlike(r"\S")).withColumn("form", F.md5("form"))
-    spellings = rows.groupBy("form", F.md5("raw").alias("raw")).agg(F.count(F.lit(1)).alias("n"))
-    several = spellings.groupBy("form").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("rows")).filter("k > 1")
-    ranked = (
-        spellings.join(several, "form")
-        .withColumn("r", F.row_number().over(W.partitionBy("form").orderBy(F.desc("n"), "raw")))
-        .select("form", "raw", "r", F.ceil(F.col("rows") / salt_rows).cast("int").alias("salts"))
-    )
-    members = materialize(rows.withColumn("raw", F.md5("raw")).join(ranked, ["form", "raw"]).select("rid", "form", "r", "salts"))
+    rows, classes = _spelled(df, id_col, text_col)
+    rows = join_hot(rows, classes.select("form", "rows"), ["form"], F.col("rid"))
+    spellings = rows.groupBy("form", "raw").agg(F.count(F.lit(1)).alias("n"), F.first("rows").alias("rows"))
+    ranked = spellings.withColumn("r", F.row_number().over(W.partitionBy("form").orderBy(F.desc("n"), "raw"))).select("form", "raw", "r", F.ceil(F.col("rows") / salt_rows).cast("int").alias("salts"))
+    members = materialize(join_hot(rows.select("rid", "form", "raw"), ranked, ["form", "raw"], F.col("rid")).select("rid", "form", "r", "salts"))
     left = members.select("form", F.col("rid").alias("x"), F.col("r").alias("rx"), F.pmod(F.xxhash64("rid"), F.col("salts").cast("bigint")).alias("salt"))
     right = members.filter("r > 1").select(
         "form", F.col("rid").alias("y"), F.col("r").alias("ry"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts").cast("bigint") - 1)).alias("salt")
