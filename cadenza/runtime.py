@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,9 +51,27 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def slots(spark: SparkSession) -> int:
-    """Partitions a shuffle of this session has."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+class Shared:
+    """A broadcast, with an id for what Python workers make of it and keep."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.broadcast, self.id = spark.sparkContext.broadcast(value), uuid.uuid4().hex
+
+    @property
+    def value(self):
+        return self.broadcast.value
+
+
+_kept: dict[tuple, object] = {}
+
+
+def once(name: tuple, make: Callable):
+    """What ``make`` gives, made once per Python worker and kept under ``name``; of old ones sixteen are kept."""
+    if name not in _kept:
+        while len(_kept) >= 16:
+            del _kept[next(iter(_kept))]
+        _kept[name] = make()
+    return _kept[name]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
