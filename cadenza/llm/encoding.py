@@ -19,7 +19,6 @@ import html
 import math
 import re
 import unicodedata
-import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -28,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import Shared, once
+
 # The encodings UTF-8 text is commonly mistaken for, and the Cyrillic code pages.
 WRONG_FOR_UTF8 = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp866", "cp1250", "iso8859_2")
 CYRILLIC = ("cp1251", "koi8_r", "cp866", "mac_cyrillic", "iso8859_5")
@@ -408,26 +409,13 @@ def _restorer(counts):
     """A batch function; the model is made once per Python worker from the broadcast counts."""
 
     def run(text: pd.Series) -> pd.DataFrame:
-        model = _MODELS.get(counts.id)
-        if model is None:
-            _MODELS.clear()
-            model = _MODELS.setdefault(counts.id, Plausibility(counts.counts.value))
+        model = once(("plausibility", counts.id), lambda: Plausibility(counts.value))
         rows = [(None, [], 0) if t is None else restore(t, model) for t in text]
         return pd.DataFrame(rows, columns=["text", "chains", "lost"])
 
     return run
 
 
-_MODELS: dict[str, Plausibility] = {}
-
-
-class _Counts:
-    """A broadcast of counts with an id that tells one application's models apart."""
-
-    def __init__(self, id: str, counts):
-        self.id, self.counts = id, counts
-
-
 def restore_encoding(df: DataFrame, text_col: str = "text", prefix: str = "restored", counts: DataFrame | None = None) -> DataFrame:
     """``df`` with ``{prefix}_text`` (null stays null), ``{prefix}_chains`` (operations used, an empty array where the
     text is sound), ``{prefix}_lost`` (characters that are gone for good) and ``{prefix}_affected``.
@@ -439,7 +427,7 @@ def restore_encoding(df: DataFrame, text_col: str = "text", prefix: str = "resto
     """
     spark = df.sparkSession
     found = {r["pair"]: r["n"] for r in (pair_counts(df, text_col) if counts is None else counts).collect()}
-    model = _Counts(uuid.uuid4().hex, spark.sparkContext.broadcast(found))
+    model = Shared(spark, found)
     text = F.col(text_col).cast("string")
     udf = F.pandas_udf(_restorer(model), "text string, chains array<string>, lost int")
     r = udf(F.when(text.rlike(NEEDED), text))

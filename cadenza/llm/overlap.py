@@ -1,23 +1,29 @@
 """Same or near-same records across splits (problem 4).
 
-Distinct evaluation texts are cut into one piece more than the edits a partner may need, so a near copy holds some
-piece unchanged. Pieces are sharded by the band of the text's word count and by hash, with a bounded number of pieces
-in each shard; an Aho-Corasick automaton per shard scans the distinct training texts whose word count can match the
-band. Matched intervals of one evaluation text in one training text are merged into its coverage; where enough of the
-pieces are covered, Myers' bit-parallel distance over words decides. Rows come back by their text at the end.
+Two texts a few edits apart share one of their rarest words: of n words as many as there may be edits, and one more, are
+looked at, in the order of how often words occur in all texts (a prefix filter). Evaluation texts are sharded by these
+words, training texts are sent to the shards of theirs, so each goes to a few shards however many there are. In a shard,
+evaluation texts are cut into one piece more than the edits a partner may need, so a near copy holds some piece unchanged;
+an Aho-Corasick automaton of the pieces scans the shard's training texts. Matched intervals of one evaluation text in one
+training text are merged into its coverage; where enough of the pieces are covered, Myers' bit-parallel distance over words
+decides. Rows come back by their text at the end.
 """
 
 from __future__ import annotations
 
 import math
 from bisect import bisect_right
+from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import accumulate
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import materialize
+from ..operators.skew import join_hot
+from ..runtime import Shared, materialize, once
 from .lookalike import unify, words
 
 
@@ -125,27 +131,119 @@ def _scan_shard(ratio: float):
     return run
 
 
-def _band(n: Column) -> Column:
-    return F.floor(F.log(n.cast("double")) / math.log(1.25)).cast("int")
+#: Words are counted by bucket of their hash, so that the counts have a bound: words of a bucket are as frequent together.
+BUCKETS = 1 << 18
 
 
-def near_texts(evals: DataFrame, trains: DataFrame, ratio: float = 0.2, shard_pieces: int = 200_000, block_chars: int = 16_000_000) -> DataFrame:
+def rare_buckets(words: list[str], buckets: list[int], counts: list[int], ratio: float) -> set[int]:
+    """Buckets of the rarest words of a text, one more than the edits it may have to a partner no longer than itself. Of two
+    texts within ``ratio`` some of these are the same: they share all but that many words, whatever the order is, and a
+    word said again is another one."""
+    said: dict[str, int] = {}
+    ranked = []
+    for w, b in zip(words, buckets, strict=True):
+        again = said[w] = said.get(w, 0) + 1
+        ranked.append((counts[b], b, w, again))
+    ranked.sort()
+    return {b for _, b, _, _ in ranked[: edits_allowed(len(words), ratio) + 1]}
+
+
+@dataclass
+class _Plan:
+    """Where the buckets' texts go: the shard, and for large ones the number of parts of either side. Arrays of ``BUCKETS``
+    numbers, broadcast."""
+
+    counts: bytes
+    shard: bytes | None = None
+    subs: bytes | None = None
+    blocks: bytes | None = None
+    wanted: bytes | None = None
+
+    @staticmethod
+    def ints(raw: bytes) -> list[int]:
+        return np.frombuffer(raw, dtype=np.int64).tolist()
+
+
+def _loads(plan, ratio: float):
+    """Rows, words and characters by bucket of the rare words of a task's texts; one row per bucket."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = once(("counts", plan.id), lambda: _Plan.ints(plan.value.counts))
+        load: dict[int, list[int]] = {}
+        for pdf in batches:
+            for text, buckets in zip(pdf["text"], pdf["buckets"], strict=True):
+                w = text.split(" ")
+                for b in rare_buckets(w, list(buckets), counts, ratio):
+                    x = load.setdefault(b, [0, 0])
+                    x[0] += len(w)
+                    x[1] += len(text)
+        yield pd.DataFrame([(b, *x) for b, x in load.items()], columns=["bucket", "words", "chars"])
+
+    return run
+
+
+def _placed(plan, ratio: float, train: bool):
+    """A row for each shard, part and block a text goes to."""
+
+    side = "t" if train else "e"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p = plan.value
+        counts, shard, subs, blocks, wanted = (once((name, plan.id), lambda name=name: _Plan.ints(getattr(p, name))) for name in ("counts", "shard", "subs", "blocks", "wanted"))
+        for pdf in batches:
+            rows = []
+            for key, text, buckets in zip(pdf["key"], pdf["text"], pdf["buckets"], strict=True):
+                number = int(key[:12], 16)
+                at = set()
+                for b in rare_buckets(text.split(" "), list(buckets), counts, ratio):
+                    if wanted[b]:
+                        s, k = subs[b], blocks[b]
+                        at |= {(shard[b], i, number % k) for i in range(s)} if train else {(shard[b], number % s, j) for j in range(k)}
+                rows += [(*x, key, text) for x in at]
+            yield pd.DataFrame(rows, columns=["shard", "sub", "block", side + "_key", side + "_text"])
+
+    return run
+
+
+def near_texts(evals: DataFrame, trains: DataFrame, ratio: float = 0.2, shard_words: int = 600_000, block_chars: int = 16_000_000) -> DataFrame:
     """``(train_key, eval_key, edits, covered)`` for tables of distinct ``(key, text, n)``: texts are words joined by one
-    space, ``n`` their number. ``shard_pieces`` bounds an automaton and ``block_chars`` the training texts a task
-    holds; both cut the work into more tasks, nothing is left out."""
-    e = evals.withColumn("band", _band(F.col("n")))
-    reach = trains.withColumn("band", F.explode(F.sequence(_band(F.ceil(F.col("n") * (1 - ratio) - 1e-9)), _band(F.floor(F.col("n") / (1 - ratio) + 1e-9)))))
-    # a row per band, and there are no more bands than the logarithm of the longest text
-    size = {r["band"]: r["pieces"] for r in e.groupBy("band").agg(F.sum(F.col("n") / 3 + 2).alias("pieces")).collect()}
-    load = {r["band"]: r["chars"] for r in reach.groupBy("band").agg(F.sum(F.length("text")).alias("chars")).collect()}
+    space, ``n`` their number, ``key`` their MD5. ``shard_words`` bounds the evaluation texts and ``block_chars`` the training
+    texts a task holds; both cut the work into more tasks, nothing is left out. Only counts by bucket reach the driver."""
     spark = evals.sparkSession
-    plan = [(b, max(1, math.ceil(p / shard_pieces)), max(1, math.ceil(load[b] / block_chars))) for b, p in size.items() if b in load]
-    shards = F.broadcast(spark.createDataFrame(plan, "band int, subs int, blocks int")) if plan else F.broadcast(spark.createDataFrame([], "band int, subs int, blocks int"))
-    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = e.join(shards, "band").select("band", F.pmod(F.xxhash64("key"), F.col("subs")).cast("int").alias("sub"), every("blocks").alias("block"), F.col("key").alias("e_key"), F.col("text").alias("e_text"))
-    right = reach.join(shards, "band").select("band", every("subs").alias("sub"), F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")).cast("int").alias("block"), F.col("key").alias("t_key"), F.col("text").alias("t_text"))
-    by = ["band", "sub", "block"]
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(_scan_shard(ratio), "train_key string, eval_key string, edits int, covered int")
+    bucketed = lambda df: df.select("key", "text", F.transform(F.split("text", " "), lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")).alias("buckets"))
+    e, t = bucketed(evals), bucketed(trains)
+
+    def by_bucket(df: DataFrame, *columns: str) -> list[np.ndarray]:
+        found = df.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in columns]).toPandas()
+        out = []
+        for c in columns:
+            a = np.zeros(BUCKETS, dtype=np.int64)
+            a[found["bucket"].to_numpy(dtype=np.int64)] = found[c].to_numpy(dtype=np.int64)
+            out.append(a)
+        return out
+
+    said = e.select("buckets").unionByName(t.select("buckets")).select(F.explode("buckets").alias("bucket"), F.lit(1).alias("n"))
+    counts = by_bucket(said, "n")[0].tobytes()
+    first = Shared(spark, _Plan(counts))
+    load = "bucket int, words bigint, chars bigint"
+    e_words, _ = by_bucket(e.mapInPandas(_loads(first, ratio), load), "words", "chars")
+    _, t_chars = by_bucket(t.mapInPandas(_loads(first, ratio), load), "words", "chars")
+    wanted = (e_words > 0) & (t_chars > 0)
+    e_words, t_chars = e_words * wanted, t_chars * wanted
+    subs, blocks = np.maximum(1, -(-e_words // shard_words)), np.maximum(1, -(-t_chars // block_chars))
+    large = (subs > 1) | (blocks > 1)
+    rest = wanted & ~large
+    size = np.where(rest, np.maximum(e_words / shard_words, t_chars / block_chars), 0.0)
+    bins = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * size.sum()))
+    # shards in turn, the largest buckets first, back and forth
+    order = np.argsort(-size, kind="stable")
+    turn = np.arange(BUCKETS) % (2 * bins)
+    shard = np.empty(BUCKETS, dtype=np.int64)
+    shard[order] = np.where(turn < bins, turn, 2 * bins - 1 - turn)
+    shard[large] = bins + np.arange(int(large.sum()))
+    plan = Shared(spark, _Plan(counts, *(a.astype(np.int64).tobytes() for a in (shard, subs, blocks, wanted))))
+    placed = lambda df, side, train: df.mapInPandas(_placed(plan, ratio, train), f"shard bigint, sub bigint, block bigint, {side}_key string, {side}_text string").groupBy("shard", "sub", "block")
+    return placed(e, "e", False).cogroup(placed(t, "t", True)).applyInPandas(_scan_shard(ratio), "train_key string, eval_key string, edits int, covered int")
 
 
 def cross_split_copies(
@@ -185,10 +283,12 @@ def copy_pairs(links: DataFrame, rows: DataFrame, salt_rows: int = 20_000) -> Da
     """``(a, b)`` with ``a < b``: the row pairs behind ``links``. Texts of many rows are salted by their number."""
     count = lambda side: rows.filter(side).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
     n_train = count("is_train").select(F.col("key").alias("train_key"), F.ceil(F.col("rows") / salt_rows).cast("bigint").alias("salts"))
-    salted = links.join(n_train, "train_key")
+    salted = materialize(links.select("train_key", "eval_key").join(n_train, "train_key"))
     evals = rows.filter("not is_train").select(F.col("rid").alias("e"), F.col("key").alias("eval_key"))
-    some = salted.join(evals, "eval_key").select("train_key", "e", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"))
-    trains = rows.filter("is_train").select(F.col("rid").alias("t"), F.col("key").alias("train_key")).join(n_train, "train_key").select("train_key", "t", F.pmod(F.xxhash64("t"), F.col("salts")).alias("salt"))
+    some = join_hot(evals, salted, ["eval_key"], F.col("e")).select("train_key", "e", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"))
+    linked = salted.select("train_key", "salts").distinct()
+    trains = join_hot(rows.filter("is_train").select(F.col("rid").alias("t"), F.col("key").alias("train_key")), linked, ["train_key"], F.col("t"))
+    trains = trains.select("train_key", "t", F.pmod(F.xxhash64("t"), F.col("salts")).alias("salt"))
     return some.join(trains, ["train_key", "salt"]).select(F.least("e", "t").alias("a"), F.greatest("e", "t").alias("b"))
 
 

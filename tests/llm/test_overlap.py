@@ -1,6 +1,7 @@
+import hashlib
 import random
 
-from cadenza.llm.overlap import copy_pairs, cross_split_copies, cut, distance, edits_allowed, longest_partner, merged_length, overlap_report
+from cadenza.llm.overlap import copy_pairs, cross_split_copies, cut, distance, edits_allowed, longest_partner, merged_length, near_texts, overlap_report
 
 SCHEMA = "row_id bigint, text string, split string, speaker string, key string, n int"
 
@@ -62,3 +63,20 @@ def test_pairs_by_brute_force(spark):
     assert sum(r["leaked_rows"] for r in report) == len({e for p in want for e in p if side[e] != "train"})
     links, members = cross_split_copies(df.limit(0))
     assert copy_pairs(links, members).count() == 0
+
+
+def test_parts_of_large_buckets_give_the_same(spark):
+    rng = random.Random(3)
+    base = [[f"w{rng.randrange(15)}" for _ in range(rng.randint(8, 14))] for _ in range(10)]
+    texts = set()
+    for _ in range(120):
+        t = list(rng.choice(base))
+        t[rng.randrange(len(t))] = rng.choice(["a", "b", "w1"])
+        texts.add(" ".join(t))
+    rows = [(hashlib.md5(t.encode()).hexdigest(), t, len(t.split())) for t in sorted(texts)]
+    e, t = spark.createDataFrame(rows[::3], "key string, text string, n int"), spark.createDataFrame(rows[1::2], "key string, text string, n int")
+    one, many = ({tuple(r) for r in near_texts(e, t, **k).collect()} for k in ({}, {"shard_words": 40, "block_chars": 300}))
+    assert one == many
+    listed = {k: x.split() for k, x, _ in rows}
+    want = {(b[0], a[0]) for a in rows[::3] for b in rows[1::2] if levenshtein(listed[a[0]], listed[b[0]]) <= edits_allowed(max(a[2], b[2]), 0.2)}
+    assert {x[:2] for x in one} == want
