@@ -13,9 +13,10 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import accumulate
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -87,8 +88,9 @@ def _scan_shard(ratio: float):
         names = ["train_key", "eval_key", "edits", "covered"]
         if evals.empty or trains.empty:
             return pd.DataFrame(columns=names)
-        texts = [t.split(" ") for t in evals["e_text"]]
-        keys = evals["e_key"].tolist()
+        held = dict(zip(evals["e_key"], evals["e_text"], strict=True))  # a text is there once for each of its rare words
+        keys = list(held)
+        texts = [t.split(" ") for t in held.values()]
         places: dict[str, list[tuple[int, int]]] = {}
         pieces = [cut(len(w), ratio) for w in texts]
         for e, w in enumerate(texts):
@@ -100,12 +102,14 @@ def _scan_shard(ratio: float):
         automaton.make_automaton()
         masks: dict[int, dict[str, int]] = {}
         out = []
-        for key, text in zip(trains["t_key"], trains["t_text"], strict=True):
+        for key, text in dict(zip(trains["t_key"], trains["t_text"], strict=True)).items():
             w = text.split(" ")
             n = len(w)
-            starts = list(accumulate((len(x) + 1 for x in w), initial=0))
+            starts: list[int] | None = None
             hits: dict[int, set[int]] = {}
             for last, (length, at) in automaton.iter(f" {text} "):
+                if starts is None:
+                    starts = list(accumulate((len(x) + 1 for x in w), initial=0))
                 p = bisect_right(starts, last - length + 1) - 1
                 for e, k in at:
                     m = len(texts[e])
@@ -131,119 +135,74 @@ def _scan_shard(ratio: float):
     return run
 
 
-#: Words are counted by bucket of their hash, so that the counts have a bound: words of a bucket are as frequent together.
+#: Words are counted by bucket of their checksum, so that the counts have a bound: words of a bucket are as frequent together.
 BUCKETS = 1 << 18
+#: Shards of a task at least: many small ones, as a piece of common words then hits few texts at once.
+SHARDS = 32
 
 
-def rare_buckets(words: list[str], buckets: list[int], counts: list[int], ratio: float) -> set[int]:
+def rare_buckets(words: list[str], counts: list[int], ratio: float) -> set[int]:
     """Buckets of the rarest words of a text, one more than the edits it may have to a partner no longer than itself. Of two
     texts within ``ratio`` some of these are the same: they share all but that many words, whatever the order is, and a
     word said again is another one."""
-    said: dict[str, int] = {}
-    ranked = []
-    for w, b in zip(words, buckets, strict=True):
-        again = said[w] = said.get(w, 0) + 1
-        ranked.append((counts[b], b, w, again))
-    ranked.sort()
-    return {b for _, b, _, _ in ranked[: edits_allowed(len(words), ratio) + 1]}
+    said = Counter(words)
+    buckets = [crc32(w.encode()) % BUCKETS for w in words]
+    if len(said) == len(words):
+        ranked = sorted(zip(map(counts.__getitem__, buckets), buckets, words, strict=True))
+    else:
+        again = [said.subtract((w,)) or said[w] for w in words]
+        ranked = sorted(zip(map(counts.__getitem__, buckets), buckets, words, again, strict=True))
+    return {x[1] for x in ranked[: edits_allowed(len(words), ratio) + 1]}
 
 
-@dataclass
-class _Plan:
-    """Where the buckets' texts go: the shard, and for large ones the number of parts of either side. Arrays of ``BUCKETS``
-    numbers, broadcast."""
-
-    counts: bytes
-    shard: bytes | None = None
-    subs: bytes | None = None
-    blocks: bytes | None = None
-    wanted: bytes | None = None
-
-    @staticmethod
-    def ints(raw: bytes) -> list[int]:
-        return np.frombuffer(raw, dtype=np.int64).tolist()
-
-
-def _loads(plan, ratio: float):
-    """Rows, words and characters by bucket of the rare words of a task's texts; one row per bucket."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = once(("counts", plan.id), lambda: _Plan.ints(plan.value.counts))
-        load: dict[int, list[int]] = {}
-        for pdf in batches:
-            for text, buckets in zip(pdf["text"], pdf["buckets"], strict=True):
-                w = text.split(" ")
-                for b in rare_buckets(w, list(buckets), counts, ratio):
-                    x = load.setdefault(b, [0, 0])
-                    x[0] += len(w)
-                    x[1] += len(text)
-        yield pd.DataFrame([(b, *x) for b, x in load.items()], columns=["bucket", "words", "chars"])
-
-    return run
-
-
-def _placed(plan, ratio: float, train: bool):
-    """A row for each shard, part and block a text goes to."""
-
-    side = "t" if train else "e"
+def _with_rare(shared, ratio: float):
+    """Adds ``rare``, the buckets of a text's rarest words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = plan.value
-        counts, shard, subs, blocks, wanted = (once((name, plan.id), lambda name=name: _Plan.ints(getattr(p, name))) for name in ("counts", "shard", "subs", "blocks", "wanted"))
+        counts = once(("counts", shared.id), lambda: np.frombuffer(shared.value, dtype=np.int64).tolist())
         for pdf in batches:
-            rows = []
-            for key, text, buckets in zip(pdf["key"], pdf["text"], pdf["buckets"], strict=True):
-                number = int(key[:12], 16)
-                at = set()
-                for b in rare_buckets(text.split(" "), list(buckets), counts, ratio):
-                    if wanted[b]:
-                        s, k = subs[b], blocks[b]
-                        at |= {(shard[b], i, number % k) for i in range(s)} if train else {(shard[b], number % s, j) for j in range(k)}
-                rows += [(*x, key, text) for x in at]
-            yield pd.DataFrame(rows, columns=["shard", "sub", "block", side + "_key", side + "_text"])
+            yield pdf.assign(rare=pd.Series([sorted(rare_buckets(t.split(" "), counts, ratio)) for t in pdf["text"]], dtype=object, index=pdf.index))
 
     return run
 
 
-def near_texts(evals: DataFrame, trains: DataFrame, ratio: float = 0.2, shard_words: int = 600_000, block_chars: int = 16_000_000) -> DataFrame:
-    """``(train_key, eval_key, edits, covered)`` for tables of distinct ``(key, text, n)``: texts are words joined by one
-    space, ``n`` their number, ``key`` their MD5. ``shard_words`` bounds the evaluation texts and ``block_chars`` the training
-    texts a task holds; both cut the work into more tasks, nothing is left out. Only counts by bucket reach the driver."""
-    spark = evals.sparkSession
-    bucketed = lambda df: df.select("key", "text", F.transform(F.split("text", " "), lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")).alias("buckets"))
-    e, t = bucketed(evals), bucketed(trains)
-
-    def by_bucket(df: DataFrame, *columns: str) -> list[np.ndarray]:
-        found = df.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in columns]).toPandas()
-        out = []
-        for c in columns:
-            a = np.zeros(BUCKETS, dtype=np.int64)
-            a[found["bucket"].to_numpy(dtype=np.int64)] = found[c].to_numpy(dtype=np.int64)
-            out.append(a)
-        return out
-
-    said = e.select("buckets").unionByName(t.select("buckets")).select(F.explode("buckets").alias("bucket"), F.lit(1).alias("n"))
-    counts = by_bucket(said, "n")[0].tobytes()
-    first = Shared(spark, _Plan(counts))
-    load = "bucket int, words bigint, chars bigint"
-    e_words, _ = by_bucket(e.mapInPandas(_loads(first, ratio), load), "words", "chars")
-    _, t_chars = by_bucket(t.mapInPandas(_loads(first, ratio), load), "words", "chars")
-    wanted = (e_words > 0) & (t_chars > 0)
-    e_words, t_chars = e_words * wanted, t_chars * wanted
-    subs, blocks = np.maximum(1, -(-e_words // shard_words)), np.maximum(1, -(-t_chars // block_chars))
-    large = (subs > 1) | (blocks > 1)
-    rest = wanted & ~large
-    size = np.where(rest, np.maximum(e_words / shard_words, t_chars / block_chars), 0.0)
-    bins = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * size.sum()))
-    # shards in turn, the largest buckets first, back and forth
-    order = np.argsort(-size, kind="stable")
-    turn = np.arange(BUCKETS) % (2 * bins)
-    shard = np.empty(BUCKETS, dtype=np.int64)
-    shard[order] = np.where(turn < bins, turn, 2 * bins - 1 - turn)
+def word_counts(df: DataFrame, text: str = "text") -> np.ndarray:
+    """How often the words of each bucket occur in texts of words joined by one space: ``BUCKETS`` numbers."""
+    bucket = F.pmod(F.crc32(F.col("w").cast("binary")), F.lit(BUCKETS)).alias("bucket")
+    found = df.select(F.explode(F.split(text, " ")).alias("w")).groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    out = np.zeros(BUCKETS, dtype=np.int64)
+    out[found["bucket"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
+    return out
+
+
+def near_texts(texts: DataFrame, counts: np.ndarray, ratio: float = 0.2, shard_words: int = 600_000, block_chars: int = 16_000_000) -> DataFrame:
+    """``(train_key, eval_key, edits, covered)`` for a table of distinct ``(key, is_train, text, n)``: texts are words joined by
+    one space, ``n`` their number. ``counts`` by :func:`word_counts` set the order of rarity, any will do. ``shard_words`` bounds
+    the evaluation texts and ``block_chars`` the training texts a task holds; both cut the work into more tasks, nothing is
+    left out. Only sums by bucket reach the driver, and the plan made of them, a row per bucket, is broadcast."""
+    spark = texts.sparkSession
+    schema = "key string, is_train boolean, text string, n int, rare array<int>"
+    ranked = materialize(texts.select("key", "is_train", "text", "n").mapInPandas(_with_rare(Shared(spark, counts.tobytes()), ratio), schema))
+    spread = ranked.withColumn("bucket", F.explode("rare")).drop("rare")
+    load = spread.groupBy("bucket").agg(F.sum(F.when(~F.col("is_train"), F.col("n"))).alias("words"), F.sum(F.when(F.col("is_train"), F.length("text"))).alias("chars"))
+    plan = load.filter("words is not null and chars is not null").toPandas().astype("int64")  # buckets of both sides
+    words, chars = plan["words"].to_numpy(), plan["chars"].to_numpy()
+    plan["subs"], plan["blocks"] = np.maximum(1, -(-words // shard_words)), np.maximum(1, -(-chars // block_chars))
+    large = ((plan["subs"] > 1) | (plan["blocks"] > 1)).to_numpy()
+    size = np.where(large, 0.0, np.maximum(words / shard_words, chars / block_chars))
+    bins = max(SHARDS * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * size.sum()))
+    # shards in turn, the largest buckets first, back and forth; large buckets have shards of their own
+    turn = np.arange(len(plan)) % (2 * bins)
+    shard = np.empty(len(plan), dtype=np.int64)
+    shard[np.argsort(-size, kind="stable")] = np.where(turn < bins, turn, 2 * bins - 1 - turn)
     shard[large] = bins + np.arange(int(large.sum()))
-    plan = Shared(spark, _Plan(counts, *(a.astype(np.int64).tobytes() for a in (shard, subs, blocks, wanted))))
-    placed = lambda df, side, train: df.mapInPandas(_placed(plan, ratio, train), f"shard bigint, sub bigint, block bigint, {side}_key string, {side}_text string").groupBy("shard", "sub", "block")
-    return placed(e, "e", False).cogroup(placed(t, "t", True)).applyInPandas(_scan_shard(ratio), "train_key string, eval_key string, edits int, covered int")
+    plan["shard"] = shard
+    placed = spread.join(F.broadcast(spark.createDataFrame(plan[["bucket", "shard", "subs", "blocks"]], "bucket int, shard bigint, subs bigint, blocks bigint")), "bucket")
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1))
+    part = lambda c: F.pmod(F.xxhash64("key"), F.col(c))
+    e = placed.filter("not is_train").select(F.col("shard").alias("e_shard"), part("subs").alias("sub"), every("blocks").alias("block"), F.col("key").alias("e_key"), F.col("text").alias("e_text"))
+    t = placed.filter("is_train").select(F.col("shard").alias("t_shard"), every("subs").alias("sub"), part("blocks").alias("block"), F.col("key").alias("t_key"), F.col("text").alias("t_text"))
+    return e.groupBy("e_shard", "sub", "block").cogroup(t.groupBy("t_shard", "sub", "block")).applyInPandas(_scan_shard(ratio), "train_key string, eval_key string, edits int, covered int")
 
 
 def cross_split_copies(
@@ -274,8 +233,8 @@ def cross_split_copies(
             "rid", (F.col("split") == train).alias("is_train"), F.md5("text").alias("key"), "text", F.size("w").alias("n"), "split", *[f"keep_{c}" for c in keep]
         )
     )
-    distinct = materialize(rows.groupBy("key", "is_train").agg(F.first("text").alias("text"), F.first("n").alias("n")))
-    links = materialize(near_texts(distinct.filter("not is_train").drop("is_train"), distinct.filter("is_train").drop("is_train"), ratio).distinct())
+    distinct = rows.groupBy("key", "is_train").agg(F.first("text").alias("text"), F.first("n").alias("n"))
+    links = materialize(near_texts(distinct, word_counts(rows), ratio).distinct())
     return links, rows.select("rid", "is_train", "key", "split", "n", *[f"keep_{c}" for c in keep])
 
 

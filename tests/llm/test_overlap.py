@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from cadenza.llm.overlap import copy_pairs, cross_split_copies, cut, distance, edits_allowed, longest_partner, merged_length, near_texts, overlap_report
+from cadenza.llm.overlap import copy_pairs, cross_split_copies, cut, distance, edits_allowed, longest_partner, merged_length, near_texts, overlap_report, word_counts
 
 SCHEMA = "row_id bigint, text string, split string, speaker string, key string, n int"
 
@@ -74,9 +74,11 @@ def test_parts_of_large_buckets_give_the_same(spark):
         t[rng.randrange(len(t))] = rng.choice(["a", "b", "w1"])
         texts.add(" ".join(t))
     rows = [(hashlib.md5(t.encode()).hexdigest(), t, len(t.split())) for t in sorted(texts)]
-    e, t = spark.createDataFrame(rows[::3], "key string, text string, n int"), spark.createDataFrame(rows[1::2], "key string, text string, n int")
-    one, many = ({tuple(r) for r in near_texts(e, t, **k).collect()} for k in ({}, {"shard_words": 40, "block_chars": 300}))
+    both = [(k, False, x, n) for k, x, n in rows[::3]] + [(k, True, x, n) for k, x, n in rows[1::2]]
+    df = spark.createDataFrame(both, "key string, is_train boolean, text string, n int")
+    one, many = ({tuple(r) for r in near_texts(df, word_counts(df), **k).collect()} for k in ({}, {"shard_words": 40, "block_chars": 300}))
     assert one == many
+    assert word_counts(df).sum() == sum(x[3] for x in both)
     listed = {k: x.split() for k, x, _ in rows}
     want = {(b[0], a[0]) for a in rows[::3] for b in rows[1::2] if levenshtein(listed[a[0]], listed[b[0]]) <= edits_allowed(max(a[2], b[2]), 0.2)}
     assert {x[:2] for x in one} == want
