@@ -44,7 +44,6 @@ _LATIN = re.compile(r"[A-Za-zªºÀ-ɏɐ-ʯḀ-ỿ]")
 _CYRILLIC = re.compile(r"[Ѐ-ԯ]")
 _GREEK = re.compile(r"[Ͱ-Ͽἀ-῿]")
 _ARMENIAN = re.compile(r"[Ա-և]")
-_NOT_ASCII = r"[^\x00-\x7F]"
 SUSPECTS = "array<struct<token:string,fix:string,mixed:boolean>>"
 
 
@@ -176,19 +175,19 @@ def _repair_batch(base: pd.Series, tokens: pd.Series, fixes: pd.Series) -> pd.Se
     return pd.Series([b if b is None or t is None else repair(b, dict(zip(t, f, strict=True))) for b, t, f in zip(base, tokens, fixes, strict=True)], dtype=object)
 
 
-def tokens_of(text: Column) -> Column:
-    """Lower-case runs of letters or digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def _known_tokens(text: Column) -> Column:
+    """Lower-case tokens with the accents that could not be joined, as the vocabulary has them, and maybe empty ones."""
+    return F.split(F.lower(text), r"[^\p{L}\p{N}\x{0300}-\x{036F}]+")
 
 
-def _known_tokens(text: Column) -> Column:
-    """Lower-case tokens with the accents that could not be joined, as the vocabulary has them."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}\x{0300}-\x{036F}]+"), lambda w: w != "")
+def words_text(text: Column) -> Column:
+    """The words of a text that is in the consistent form already, joined by one space."""
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def words(text: Column) -> Column:
-    """Words of a text that is in the consistent form already; null gives an empty array."""
-    return F.coalesce(tokens_of(text), F.array().cast("array<string>"))
+def words_number(joined: Column) -> Column:
+    """How many words a text of :func:`words_text` has."""
+    return F.when(joined == "", 0).otherwise(F.char_length(joined) - F.char_length(F.translate(joined, " ", "")) + 1)
 
 
 def unify(df: DataFrame, columns: dict[str, str], vocabulary: DataFrame | None = None) -> DataFrame:
@@ -209,8 +208,9 @@ def unify(df: DataFrame, columns: dict[str, str], vocabulary: DataFrame | None =
 
 def _unify_one(df: DataFrame, source: str, new: str, vocabulary: DataFrame | None) -> DataFrame:
     df = df.withColumn("__cz_text", F.col(source).cast("string"))
-    ascii_rows = df.filter(F.col("__cz_text").isNull() | ~F.col("__cz_text").rlike(_NOT_ASCII)).withColumn("__cz_u", F.translate("__cz_text", "\t\x0b\x0c", "   "))
-    other = df.filter(F.col("__cz_text").rlike(_NOT_ASCII)).withColumn("__cz_s", F.pandas_udf(_stage_one, f"base string, suspects {SUSPECTS}")("__cz_text"))
+    plain = F.octet_length("__cz_text") == F.char_length("__cz_text")
+    ascii_rows = df.filter(F.col("__cz_text").isNull() | plain).withColumn("__cz_u", F.translate("__cz_text", "\t\x0b\x0c", "   "))
+    other = df.filter(~plain).withColumn("__cz_s", F.pandas_udf(_stage_one, f"base string, suspects {SUSPECTS}")("__cz_text"))
     other = materialize(other.withColumn("__cz_row", F.monotonically_increasing_id()))
     clean = other.filter(F.size("__cz_s.suspects") == 0).withColumn("__cz_u", F.col("__cz_s.base"))
     dirty = other.filter(F.size("__cz_s.suspects") > 0)
@@ -220,10 +220,11 @@ def _unify_one(df: DataFrame, source: str, new: str, vocabulary: DataFrame | Non
     wanted = pairs.select("word").distinct()
     doubted = dirty.select(F.array_except(_known_tokens(F.col("__cz_s.base")), F.transform("__cz_s.suspects", lambda s: F.lower(s["token"]))).alias("w"))
     known = (
-        ascii_rows.select(_known_tokens(F.col("__cz_u")).alias("w"))
+        ascii_rows.select(F.split(F.lower("__cz_u"), "[^a-z0-9]+").alias("w"))
         .unionByName(clean.select(_known_tokens(F.col("__cz_u")).alias("w")))
         .unionByName(doubted)
         .select(F.explode("w").alias("word"))
+        .filter("word <> ''")
     )
     if vocabulary is not None:
         known = known.unionByName(vocabulary.select(F.lower("word").alias("word")))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import join_hot
 from ..runtime import Shared, materialize, once
-from .lookalike import unify, words
+from .lookalike import unify, words_number, words_text
 
 
 def edits_allowed(n: int, ratio: float) -> int:
@@ -227,12 +227,8 @@ def cross_split_copies(
     keep = keep or []
     rows = df.select(F.col(row_id).alias("rid"), F.col(text).alias("t"), F.col(split).alias("split"), *[F.col(c).alias(f"keep_{c}") for c in keep])
     rows = rows.filter(F.col("rid").isNotNull() & F.col("t").isNotNull() & F.col("split").isin(train, *evaluation))
-    rows = unify(rows, {"t": "t"}).withColumn("w", words(F.col("t"))).filter(F.size("w") >= min_words)
-    rows = materialize(
-        rows.withColumn("text", F.concat_ws(" ", "w")).select(
-            "rid", (F.col("split") == train).alias("is_train"), F.md5("text").alias("key"), "text", F.size("w").alias("n"), "split", *[f"keep_{c}" for c in keep]
-        )
-    )
+    rows = unify(rows, {"t": "t"}).withColumn("text", words_text(F.col("t"))).withColumn("n", words_number(F.col("text"))).filter(F.col("n") >= min_words)
+    rows = materialize(rows.select("rid", (F.col("split") == train).alias("is_train"), F.md5("text").alias("key"), "text", "n", "split", *[f"keep_{c}" for c in keep]))
     distinct = rows.groupBy("key", "is_train").agg(F.first("text").alias("text"), F.first("n").alias("n"))
     links = materialize(near_texts(distinct, word_counts(rows), ratio).distinct())
     return links, rows.select("rid", "is_train", "key", "split", "n", *[f"keep_{c}" for c in keep])
