@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import Shared, materialize, once
 from .lookalike import choose, plain_form, repair, suspects
 
 _NO_WORD = re.compile(r"[\W_]+")
@@ -134,21 +135,45 @@ class Matcher:
         return best
 
 
-def _scan(items: list[tuple[int, str]], min_words: int, max_errors: int):
+def _scan(items: Shared, min_words: int, max_errors: int):
+    """Scans documents with the automaton of the items, made once per Python worker."""
+
+    def make() -> tuple[Matcher, set[str]]:
+        texts, known = items.value
+        listed = [(i, word_list(t, known)) for i, t in texts]
+        return Matcher(listed, min_words, max_errors), {x for _, w in listed for x in w}
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        listed = [(i, word_list(t)) for i, t in items]
-        vocabulary = {x for _, w in listed for x in w}
-        matcher = Matcher(listed, min_words, max_errors)
+        matcher, vocabulary = once(("items", items.id, min_words, max_errors), make)
         for pdf in batches:
             rows = []
             for doc, text in zip(pdf["id"], pdf["text"], strict=True):
                 for k, (length, edits) in matcher.find(word_list(text, vocabulary)).items():
-                    rows.append((doc, listed[k][0], length, edits))
+                    rows.append((doc, matcher.items[k][0], length, edits))
             yield pd.DataFrame(rows, columns=["id", "item", "run_words", "edits"])
 
     return run
 
 
+def _known(texts: list[str], docs: DataFrame) -> set[str]:
+    """Of the forms that tokens of items may be repaired to, those that the corpus holds; the documents are read only if
+    there are such tokens and the items themselves lack the forms."""
+    said: set[str] = set()
+    wanted: set[str] = set()
+    for t in texts:
+        base = plain_form(t)
+        found = suspects(base)
+        wanted |= {fix.lower() for _, fix, _ in found}
+        said |= set(_NO_WORD.sub(" ", base.lower()).split()) - {token.lower() for token, _, _ in found}
+    known, wanted = wanted & said, wanted - said
+    if wanted:
+        spark = docs.sparkSession
+        asked = F.broadcast(spark.createDataFrame([(w,) for w in sorted(wanted)], "word string"))
+        spoken = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("word"))
+        known |= {r["word"] for r in spoken.join(asked, "word", "left_semi").distinct().collect()}
+    return known
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -165,9 +190,13 @@ def find_leaks(
     ``edits`` is 0 where it has ``min_words`` or more.
 
     Items of fewer words, null and blank texts and null ids take no part; a repeated row counts once per document and
-    item. The items are held by every task, so they are cut into shards of at most ``shard_chars`` characters and the
-    documents are scanned once per shard. Documents are read in place, without a shuffle. Whole texts are scanned.
-    Further columns are ignored; an empty table gives an empty result.
+    item. The items are held by every Python worker, so they are cut into shards of about ``shard_chars`` characters and the
+    documents are scanned once per shard, one shard after the other. Documents are read in place, without a shuffle. Whole
+    texts are scanned. Further columns are ignored; an empty table gives an empty result.
+
+    Words are those of the consistent form by the vocabulary of items and documents: a token of a document is repaired where
+    the result is a word of an item, as other repairs can't make a passage of one; a token of an item where the items or
+    the documents hold the result.
     """
     if min_words < 1 or max_errors < 0 or max_errors + 2 > min_words + 1:
         raise ValueError("min_words must exceed max_errors")
@@ -179,6 +208,10 @@ def find_leaks(
     for s in range(shards):
         part = texts if shards == 1 else texts.filter(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == s)
         held = [(r["id"], r["text"]) for r in part.collect()]
-        hits = source.mapInPandas(_scan(held, min_words, max_errors), "id bigint, item bigint, run_words int, edits int")
+        items_held = Shared(docs.sparkSession, (held, _known([t for _, t in held], source)))
+        hits = source.mapInPandas(_scan(items_held, min_words, max_errors), "id bigint, item bigint, run_words int, edits int")
+        if shards > 1:  # one shard after the other, so that one is held at a time
+            hits = materialize(hits)
+            items_held.broadcast.destroy()
         found = hits if found is None else found.unionByName(hits)
     return found.groupBy(F.col("id").alias(doc_id), F.col("item").alias(item_id)).agg(F.max("run_words").alias("run_words"), F.min("edits").alias("edits"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -35,6 +36,8 @@ SPACES = [0x09, 0x0B, 0x0C, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
 FULL_WIDTH = {c: unicodedata.normalize("NFKC", chr(c)) for c in (*range(0xFF01, 0xFF5F), *range(0xFFE0, 0xFFE7))}
 _STAGE_ONE = FULL_WIDTH | dict.fromkeys(INVISIBLE) | dict.fromkeys(SPACES, " ")
 
+_CHANGED = re.compile("[" + "".join(re.escape(chr(c)) for c in _STAGE_ONE) + "]")
+
 #: A token: letters, digits and the accents that could not be joined with them.
 _PART = r"(?:[^\W_]|[̀-ͯ])"
 _TOKEN = re.compile(rf"{_PART}+")
@@ -51,7 +54,7 @@ def plain_form(text: str) -> str:
     """The first half: widths, accents, invisible characters and spaces."""
     if text.isascii():
         return text if not ("\t" in text or "\x0b" in text or "\x0c" in text) else text.translate(_STAGE_ONE)
-    return unicodedata.normalize("NFC", text.translate(_STAGE_ONE))
+    return unicodedata.normalize("NFC", text.translate(_STAGE_ONE) if _CHANGED.search(text) else text)
 
 
 def _script(c: str) -> str | None:
@@ -94,29 +97,34 @@ def convert(token: str, script: str) -> str | None:
     return unicodedata.normalize("NFC", "".join(out))
 
 
+@lru_cache(maxsize=200_000)
+def _read(token: str) -> tuple[frozenset[str], dict[str, int]]:
+    """The scripts of a token's letters, and its exclusive letters by script."""
+    letters = _letters(token)
+    return frozenset(s for _, s in letters), _exclusive(letters)
+
+
 def dominant_script(text: str) -> str | None:
     """The script of most letters that belong to one script only; None where there is no such letter."""
-    n = _exclusive(_letters(text))
+    n: dict[str, int] = {}
+    for token in _TOKEN.findall(text):
+        for s, k in _read(token)[1].items():
+            n[s] = n.get(s, 0) + k
     return max(sorted(n), key=lambda s: n[s]) if n else None
 
 
 def suspects(base: str) -> list[tuple[str, str, bool]]:
     """``(token, form it may be repaired to, whether the token mixes scripts)``. A token all in look-alikes of another
     script than the text's counts too, as unmixed."""
-    if base.isascii():
+    if base.isascii() or not _FOREIGN.search(base):
         return []
     found: dict[tuple[str, str], bool] = {}
     whole: str | None = ""
-    # also a Latin token inside a text of another script
-    has_foreign = False
     tokens = set(_TOKEN.findall(base))
     for token in sorted(tokens):
         if not _FOREIGN.search(token):
             continue
-        has_foreign = True
-        letters = _letters(token)
-        scripts = {s for _, s in letters}
-        own = _exclusive(letters)
+        scripts, own = _read(token)
         if len(scripts) > 1:
             order = sorted(own, key=lambda s: -own[s])
             if not order:
@@ -131,12 +139,12 @@ def suspects(base: str) -> list[tuple[str, str, bool]]:
             to = whole or "LATIN"
             if to not in scripts and (fix := convert(token, to)):
                 found[token, fix] = False
-    if has_foreign:
-        whole = dominant_script(base) if whole == "" else whole
-        if whole in FROM_LATIN:
-            for token in sorted(t for t in tokens if _ASCII_TOKEN.fullmatch(t)):
-                if (fix := convert(token, whole)) and not _exclusive(_letters(token)):
-                    found[token, fix] = False
+    # also a Latin token inside a text of another script
+    whole = dominant_script(base) if whole == "" else whole
+    if whole in FROM_LATIN:
+        for token in sorted(t for t in tokens if _ASCII_TOKEN.fullmatch(t)):
+            if not _read(token)[1] and (fix := convert(token, whole)):
+                found[token, fix] = False
     return [(t, f, mixed) for (t, f), mixed in found.items()]
 
 

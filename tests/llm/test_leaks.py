@@ -62,4 +62,13 @@ def test_documents(spark):
     assert find_leaks(df, items.limit(0)).count() == 0
     with pytest.raises(ValueError):
         find_leaks(df, items, min_words=1, max_errors=1)
-    assert piece_words(12, 0) == 6 and word_list("Ａb, cаt") == ["ab", "cat"]
+    assert piece_words(12, 0) == 6 and word_list("Ａb, cаt", {"cat"}) == ["ab", "cat"]
+
+
+def test_damaged_items_by_the_documents_words(spark):
+    w = "while the river flows under every bridge near some little town today".split()
+    item = " ".join(w).replace("river", "rіver")
+    items = spark.createDataFrame([(1, item, 0)], ITEMS)
+    docs = [(1, " ".join(w)), (2, " ".join(w).replace("town", "tоwn")), (3, "nothing")]
+    got = find_leaks(spark.createDataFrame([(*d, 1, 2, 3) for d in docs], SCHEMA), items, max_errors=0).collect()
+    assert {r["doc_id"] for r in got} == {1, 2}
