@@ -11,7 +11,7 @@ from .groups import assign_splits, mixed_groups
 from .leaks import find_leaks
 from .lookalike import look_alike_pairs, unify
 from .overlap import copy_pairs, cross_split_copies, overlap_report
-from .packing import pack_documents
+from .packing import pack_documents, packing_report
 from .pieces import split_recordings
 
 
@@ -56,6 +56,10 @@ def p6_containers(spark: SparkSession, d: str) -> DataFrame:
     return pack_documents(table(spark, d, "documents"))
 
 
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing_report(pack_documents(table(spark, d, "documents")))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).filter("run_words >= 12").select("doc_id", "item_id")
 
@@ -73,4 +77,4 @@ def p8_restored(spark: SparkSession, d: str) -> DataFrame:
     return r.filter("restored_affected").select("doc_id", "restored_text", F.array_join("restored_chains", ",").alias("chains"), "restored_lost")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_unified, p4_found, p4_report, p5_found, p5_splits, p6_found, p6_containers, p7_found, p7_leaks, p8_found, p8_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_unified, p4_found, p4_report, p5_found, p5_splits, p6_found, p6_containers, p6_report, p7_found, p7_leaks, p8_found, p8_restored)}
