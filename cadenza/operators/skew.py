@@ -30,3 +30,25 @@ def join_hot(left: DataFrame, right: DataFrame, on: list[str], spread: Column, h
     salted = left.join(F.broadcast(hot), on, "left").withColumn("__salt", salt).drop("salts")
     copied = right.join(F.broadcast(hot), on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1))).drop("salts")
     return salted.join(copied, [*on, "__salt"], how).drop("__salt")
+
+
+#: What may be broadcast, in bytes of its values and 16 a value.
+BROADCAST_BYTES = 32_000_000
+
+
+def fits(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is small enough to be broadcast: its rows and the bytes of its values are added up."""
+    kinds = dict(df.dtypes)
+    width = F.lit(16 * len(kinds))
+    for c, kind in kinds.items():
+        if kind == "string":
+            width = width + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind != "boolean" and kind.partition("<")[0] in ("array", "map", "struct"):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0] <= limit
+
+
+def join_lookup(left: DataFrame, right: DataFrame, on: list[str], spread: Column, how: str = "inner", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``left.join(right, on, how)`` for a written ``right`` with few rows of each key: broadcast if it fits, else a join that
+    spreads hot keys."""
+    return left.join(F.broadcast(right), on, how) if fits(right, limit) else join_hot(left, right, on, spread, how)
