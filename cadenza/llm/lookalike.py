@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..operators.skew import join_hot
+from ..operators.skew import join_hot, join_lookup
 from ..runtime import materialize
 
 # Letters of other scripts that look like a Latin letter.
@@ -247,7 +247,7 @@ def _unify_one(df: DataFrame, source: str, new: str, vocabulary: DataFrame | Non
         .agg(F.min_by("fix", F.struct(F.when(F.col("known"), 0).otherwise(1), F.col("fix"))).alias("fix"))
     )
     spots = dirty.select("__cz_row", F.explode(F.array_distinct(F.transform("__cz_s.suspects", lambda s: s["token"]))).alias("token"))
-    fixes = join_hot(spots, accepted, ["token"], F.col("__cz_row")).groupBy("__cz_row").agg(F.collect_list("token").alias("__cz_tokens"), F.collect_list("fix").alias("__cz_fixes"))
+    fixes = join_lookup(spots, accepted, ["token"], F.col("__cz_row")).groupBy("__cz_row").agg(F.collect_list("token").alias("__cz_tokens"), F.collect_list("fix").alias("__cz_fixes"))
     mended = dirty.join(fixes, "__cz_row", "left").withColumn("__cz_u", F.pandas_udf(_repair_batch, "string")("__cz_s.base", "__cz_tokens", "__cz_fixes"))
     keep = [F.col(c) for c in df.columns if c not in (new, "__cz_text")]
     parts = [x.select(*keep, F.col("__cz_u").alias(new)) for x in (ascii_rows, clean, mended)]

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from cadenza.llm.groups import assign_splits, connected, flow_split, min_cost_flow, mixed_groups, related_groups
+from cadenza.llm.groups import assign_splits, connected, flow_split, min_cost_flow, mixed_groups, related_groups, row_costs
 
 SCHEMA = "row_id bigint, speaker string, id string, split string, group_id int, node string"
 
@@ -58,32 +58,50 @@ def test_long_chain(spark):
 
 def test_flow_is_cheapest():
     rng = random.Random(2)
-    for _ in range(30):
-        supply = {s: float(rng.randint(0, 5)) for s in ("a", "b", "")}
-        total = sum(supply.values())
-        cut = rng.randint(0, int(total))
-        want = {"a": float(cut), "b": total - cut}
-        f = min_cost_flow(supply, want, 4.0)
-        price = lambda x: sum(v * (0 if k[0] in (k[1], "") else 1) for k, v in x.items()) + sum(4 * max(0, sum(v for k, v in x.items() if k[1] == s) - want[s]) for s in want)
-        best = min(
-            price({(lab, "a"): n for lab, n in zip(supply, c, strict=True)} | {(lab, "b"): supply[lab] - n for lab, n in zip(supply, c, strict=True)})
-            for c in itertools.product(*[range(int(v) + 1) for v in supply.values()])
-        )
-        assert all(abs(sum(v for k, v in f.items() if k[0] == lab) - supply[lab]) < 1e-6 for lab in supply)
+    for _ in range(60):
+        k = rng.choice([2, 3])
+        bundles = [(1, tuple(rng.randint(0, 2) for _ in range(k + 1)), rng.randint(0, 4)) for _ in range(3)]
+        supply = [n for _, _, n in bundles]
+        costs = row_costs(bundles, ["a", "b", "c"][:k])
+        total = sum(supply)
+        cuts = sorted(rng.randint(0, total) for _ in range(k - 1))
+        want = [float(y - x) for x, y in zip([0, *cuts], [*cuts, total])]
+        f = min_cost_flow(supply, costs, want, 0.9)
+
+        def price(x):
+            return sum(x[i][s] * costs[i][s] for i in range(3) for s in range(k)) + sum(0.9 * max(0, sum(r[s] for r in x) - want[s]) for s in range(k))
+
+        ways = [[c for c in itertools.product(range(n + 1), repeat=k) if sum(c) == n] for n in supply]
+        best = min(price(x) for x in itertools.product(*ways))
+        assert all(sum(row) == pytest.approx(n) for row, n in zip(f, supply))
         assert price(f) == pytest.approx(best)
 
 
 def test_rounding_keeps_components():
-    bundles = [("train", 7, 3), ("test", 5, 4), ("", 1, 30)]
-    flow = flow_split(bundles, {"train": 0.8, "test": 0.1, "validation": 0.1})
-    assert all(sum(flow[lab, size].values()) == n for lab, size, n in bundles)
+    names = {"train": 0.8, "test": 0.1, "validation": 0.1}  # profiles in the order test, train, validation, others
+    bundles = [(7, (0, 7, 0, 0), 3), (5, (5, 0, 0, 0), 4), (5, (2, 3, 0, 0), 2), (1, (0, 0, 0, 1), 30)]
+    put = flow_split(bundles, names)
+    assert all(sum(row) == n for row, (_, _, n) in zip(put, bundles))
+    have = [sum(row[s] * b[0] for row, b in zip(put, bundles)) for s in range(3)]
+    assert abs(have[1] - 0.8 * 81) <= 5 and put[0] == [0, 3, 0]
+    # a component mixed of both labels costs less in train, where most of its rows are, than a pure one of test
+    assert put[2][1] == 2
+
+
+def test_many_bundles_are_quick():
+    rng = random.Random(5)
+    bundles = sorted({(a + b + c + d, (a, b, c, d), rng.randint(1, 9)) for a, b, c, d in ((rng.randint(0, 9), rng.randint(0, 30), rng.randint(0, 9), rng.randint(0, 3)) for _ in range(6000)) if a + b + c + d})
+    put = flow_split(bundles, {"train": 0.8, "test": 0.1, "validation": 0.1})
+    rows = sum(s * n for s, _, n in bundles)
+    have = [sum(row[s] * b[0] for row, b in zip(put, bundles)) for s in range(3)]
+    assert sum(have) == rows and abs(have[1] - 0.8 * rows) < 50 and abs(have[0] - 0.1 * rows) < 50
 
 
 def test_assigned_splits(spark):
     rng = random.Random(3)
     rows = [(i, f"s{rng.randint(0, 60)}", f"u_{i}", rng.choice(["train", "test", "validation", "odd", None])) for i in range(900)]
     targets = spark.createDataFrame([("train", 0.8), ("test", 0.1), ("validation", 0.1), (None, 0.5), ("none", 0.0)], "split string, share double")
-    got = assign_splits(frame(spark, rows), targets, buckets=4).collect()
+    got = assign_splits(frame(spark, rows), targets).collect()
     assert sorted(r["row_id"] for r in got) == list(range(900))
     assert len({(r["group_id"], r["new_split"]) for r in got}) == len({r["group_id"] for r in got})
     share = sum(r["new_split"] == "train" for r in got) / 900
