@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 import string
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Length marks, ties and stress signs taken off phonemes; tags taken out of transcripts.
-DIACRITICS = "ːˑ̯̆͡‿͜ˈˌ̩"
+DIACRITICS = "ːˑ̯̆͡‿̩͜ˈˌ"
 TAGS = ("<comma>", "<period>", "<questionmark>", "<exclamationpoint>", "<sil>", "<music>", "<noise>", "<other>")
 
 _ENDS = r"^\s+|\s+$"
@@ -88,25 +89,32 @@ def number_words(n: int) -> str:
     return text
 
 
-def aligner_form_text(text: str) -> str:
-    """Letters without marks, NFKC, lower case, no ASCII punctuation, digits as English words, single spaces. Taking marks
-    off after NFKD stands in for a full transliteration."""
-    text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-    text = unicodedata.normalize("NFKC", text).lower()
-    text = text.translate(str.maketrans("", "", string.punctuation))
-    text = re.sub(r"\d+", lambda m: number_words(int(m.group())), text)
-    return re.sub(r"\s+", " ", text)
+def letters_without_marks(text: str) -> str:
+    """Compatibility forms as ordinary letters, marks taken off; stands in for a full transliteration."""
+    return unicodedata.normalize("NFKC", "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)))
 
 
-def _aligner_batch(s: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else aligner_form_text(t) for t in s], dtype=object)
+def numbers_spelled(text: str) -> str:
+    return _DIGITS.sub(lambda m: number_words(int(m.group())), text)
+
+
+_DIGITS = re.compile(r"\d+")
+
+
+def _each(f: Callable[[str], str]) -> Callable[[Column], Column]:
+    """A text function as a column function, null giving null."""
+    return F.pandas_udf(lambda s: pd.Series([None if t is None else f(t) for t in s], dtype=object), "string")
 
 
 def aligner_form(c: Column) -> Column:
-    """:func:`aligner_form_text`. ASCII texts without digits stay in the JVM."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(c), r"[!-/:-@\[-`{-~]", ""), r"\s+", " ")
-    hard = c.rlike(r"[^\x00-\x7F]|[0-9]")
-    return F.when(hard, F.pandas_udf(_aligner_batch, "string")(F.when(hard, c))).otherwise(plain)
+    """The form forced alignment works on: letters without marks, lower case, no ASCII punctuation, digits as English words,
+    single spaces. Only texts that aren't ASCII and texts with digits go to Python, for that step alone."""
+    foreign = F.octet_length(c) != F.char_length(c)
+    c = F.when(foreign, _each(letters_without_marks)(F.when(foreign, c))).otherwise(c)
+    c = F.regexp_replace(F.lower(c), r"[!-/:-@\[-`{-~]", "")
+    counted = c.rlike(r"\p{Nd}")
+    c = F.when(counted, _each(numbers_spelled)(F.when(counted, c))).otherwise(c)
+    return F.regexp_replace(c, r"\s+", " ")
 
 
 def int16_pcm(c: Column) -> Column:

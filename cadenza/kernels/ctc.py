@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate, pairwise
+
 import numpy as np
 
 
@@ -48,13 +50,10 @@ def spans(labels: list[int], probs: np.ndarray, blank: int = 0) -> list[tuple[in
 
 def by_lengths(items: list, lengths: list[int]) -> list[list]:
     """``items`` regrouped by the given lengths, which must add up."""
-    if sum(lengths) != len(items):
+    ends = list(accumulate(lengths, initial=0))
+    if ends[-1] != len(items):
         raise ValueError("lengths don't add up")
-    out, a = [], 0
-    for n in lengths:
-        out.append(items[a : a + n])
-        a += n
-    return out
+    return [items[a:b] for a, b in pairwise(ends)]
 
 
 def word_times(log_probs: np.ndarray, words: list[str], labels: dict[str, int], samples: int, rate: int) -> list[tuple[str, float, float]]:

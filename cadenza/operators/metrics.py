@@ -50,14 +50,20 @@ def error_rate(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def punctuated(offsets: Column, truth: Column, punctuations: tuple[str, ...] = PUNCTUATIONS) -> Column:
-    """Nested phoneme offsets with the punctuation of ``truth``, its phonemes and punctuation as an array."""
+    """Nested phoneme offsets with the punctuation of ``truth``, its phonemes and punctuation as an array. Null where either is
+    null or empty, or no cut of the phonemes fits the truth."""
+
+    def place(items: list | None, true: list | None) -> list[dict] | None:
+        if items is None or true is None or not len(items):
+            return None
+        try:
+            placed = place_punctuation([x["text"] or "" for x in items], [x["start_time"] for x in items], [x["end_time"] for x in items], list(true), punctuations)
+        except ValueError:
+            return None
+        return [{"text": a, "start_time": b, "end_time": c} for a, b, c in placed]
 
     def run(o: pd.Series, t: pd.Series) -> pd.Series:
-        out = []
-        for items, true in zip(o, t, strict=True):
-            placed = place_punctuation([x["text"] for x in items], [x["start_time"] for x in items], [x["end_time"] for x in items], list(true), punctuations)
-            out.append([{"text": a, "start_time": b, "end_time": c} for a, b, c in placed])
-        return pd.Series(out)
+        return pd.Series([place(items, true) for items, true in zip(o, t, strict=True)], dtype=object)
 
     return F.pandas_udf(run, "array<struct<text:string,start_time:double,end_time:double>>")(offsets, truth)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cadenza.backends import DictionaryG2P, classify, stride_plan, transcribe, wav_bytes, wav_duration, wav_samples
 from cadenza.config import RunConfig, SegmenterConfig, TranscriberConfig
-from cadenza.functions.text import aligner_form, aligner_form_text, number_words, phoneme_form, tokens, transcript_form
+from cadenza.functions.text import aligner_form, letters_without_marks, number_words, numbers_spelled, phoneme_form, tokens, transcript_form
 from cadenza.operators import audio
 from cadenza.operators.lexicon import counts_by_word, lookup, merge_lexicons, missing_words, pronunciation_counts
 from cadenza.plans.pipeline import keep_matching, recordings_to_segments
@@ -27,8 +27,9 @@ def test_text_functions(spark):
     assert text_of(spark, tokens, "wait ... () what") == ["wait", "...", "what"]
     assert text_of(spark, transcript_form, "Hi, THERE <COMMA>  you-all\t") == "hi there  you all"
     assert text_of(spark, phoneme_form, " d͡ʒ ˈʌ s tː ") == "dʒ ʌ s t"
-    assert text_of(spark, aligner_form, "Café № 12,  ok") == aligner_form_text("Café № 12,  ok")
-    assert text_of(spark, aligner_form, "It's  OK.") == aligner_form_text("It's  OK.") == "its ok"
+    assert text_of(spark, aligner_form, "Café № 1,2,  ok") == "cafe no twelve ok"
+    assert text_of(spark, aligner_form, "It's  OK.") == "its ok" and text_of(spark, aligner_form, None) is None
+    assert letters_without_marks("Ｃafé ﬁ") == "Cafe fi" and numbers_spelled("a 21 b") == "a twenty-one b"
     assert [number_words(n) for n in (0, 21, 105, 1001, 1999)] == ["zero", "twenty-one", "one hundred and five", "one thousand and one", "one thousand, nine hundred and ninety-nine"]
 
 
