@@ -187,7 +187,8 @@ def split_recordings(
     grouped = placed.groupBy("key", F.col("c.lo").alias("lo")).agg(
         F.sort_array(F.collect_set("item")).alias("items"), F.max("c.hi").alias("hi"), F.max("c.reach").alias("reach"), F.max("oversized").alias("oversized"), F.min("rec_lo").alias("rec_lo")
     )
-    cut = F.pandas_udf(_pieces_batch(limit_ms, overlap_ms), _PIECES)
+    # nondeterministic for the planner, as it would run twice for the filter that the explosion implies
+    cut = F.pandas_udf(_pieces_batch(limit_ms, overlap_ms), _PIECES).asNondeterministic()
     fits = grouped.filter("not oversized").withColumn("pieces", F.array(F.struct(F.col("lo").alias("start_ms"), F.col("hi").alias("end_ms"), F.lit(1).alias("at"), F.size("items").alias("n"))))
     large = grouped.filter("oversized").withColumn("pieces", cut(F.col("items.s"), F.col("items.e"), F.col("lo"), F.col("hi"), F.col("reach"), F.col("rec_lo")))
     said = lambda items: F.array_join(F.filter(items, lambda t: t != ""), " ")
