@@ -31,17 +31,29 @@ def speaker_splits(df: DataFrame, speaker: str = "speaker", test_size: float = 0
     """``(speaker, n, split)``: speakers by number of rows, largest first and names ascending; one goes to train while the
     rows before it are fewer than train's share, then to test, then to validation. Null speakers take no part.
 
-    Rows before a speaker come from counts by number of rows, of which there are few, so no task sorts all speakers.
+    Speakers are sorted in ranges, of which each task has one; the rows before a range come from the sums of the ranges.
     """
-    counts = materialize(df.filter(F.col(speaker).isNotNull()).groupBy(speaker).agg(F.count(F.lit(1)).alias("n")))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counts = df.filter(F.col(speaker).isNotNull()).groupBy(speaker).agg(F.count(F.lit(1)).alias("n"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(counts.repartitionByRange(ranges, F.desc("n"), F.col(speaker)).withColumn("__r", F.spark_partition_id()))
+    sums = ranged.groupBy("__r").agg(F.sum("n").alias("__n")).withColumn("__r", F.col("__r").cast("bigint"))
+    total = ranged.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     train, test = int((1 - test_size - valid_size) * total), int((1 - valid_size) * total)
-    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k"))
-    above = sizes.select("n", F.coalesce(F.sum(F.col("n") * F.col("k")).over(W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("above"))
-    ranked = counts.join(F.broadcast(above), "n").withColumn("before", F.col("above") + (F.row_number().over(W.partitionBy("n").orderBy(speaker)) - 1) * F.col("n"))
+    within = F.coalesce(F.sum("n").over(W.partitionBy("__r").orderBy(F.desc("n"), speaker).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranked = ranged.withColumn("__w", within).join(F.broadcast(sums_before(sums, "__r", "__n", "__base")), "__r").withColumn("before", F.col("__base") + F.col("__w"))
     return ranked.select(speaker, "n", F.when(F.col("before") < train, "train").when(F.col("before") < test, "test").otherwise("validation").alias("split"))
 
 
+def sums_before(sums: DataFrame, number: str, value: str, name: str, width: int = 10_000) -> DataFrame:
+    """``(number, name)``: the sum of ``value`` over all smaller numbers, for one row per whole number. Sums go by stretches of
+    ``width`` numbers, and between the stretches by one row each."""
+    sums = sums.withColumn("__s", F.floor(F.col(number) / width))
+    before = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    tops = sums.groupBy("__s").agg(F.sum(value).alias("__t")).select("__s", before("__t", W.orderBy("__s")).alias("__top"))
+    inner = sums.select(number, "__s", before(value, W.partitionBy("__s").orderBy(number)).alias("__in"))
+    return inner.join(tops, "__s").select(number, (F.col("__top") + F.col("__in")).alias(name))
+
+
 def contained(outer: DataFrame, inner: DataFrame, by: str, tolerance: float = 0.06, cell: float = 1.0) -> DataFrame:
     """Each outer interval with the inner ones of the same ``by`` that lie within it, give or take the tolerance, as
     ``inner_start, inner_end, inner_text``; one row per match, and one of nulls where there is none.
@@ -50,7 +62,7 @@ def contained(outer: DataFrame, inner: DataFrame, by: str, tolerance: float = 0.
     and a pair counts in the first cell both have. So the join is on equal keys and a long recording is many groups.
     """
     at = lambda c: F.floor(c / cell)
-    outer = outer.withColumn("__o", F.xxhash64(*outer.columns))
+    outer = materialize(outer.withColumn("__o", F.monotonically_increasing_id()))
     wide = outer.withColumn("__first", at(F.col("start_time") - tolerance)).withColumn("__cell", F.explode(F.sequence(F.col("__first"), at(F.greatest("end_time", "start_time") + tolerance))))
     narrow = (
         inner.select(F.col(by), F.col("start_time").alias("inner_start"), F.col("end_time").alias("inner_end"), F.col("text").alias("inner_text"))
@@ -86,11 +98,18 @@ def batches(df: DataFrame, order: str, size: int = 10, block: int = 10_000) -> D
     """``df`` with ``batch`` from 0: ``size`` rows each in ascending order of a unique whole number. Rows before a block of
     that number come from the counts of the blocks."""
     df = df.withColumn("__b", F.floor(F.col(order) / block))
-    base = df.groupBy("__b").agg(F.count(F.lit(1)).alias("__n")).select("__b", F.coalesce(F.sum("__n").over(W.orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
+    base = sums_before(df.groupBy("__b").agg(F.count(F.lit(1)).alias("__n")), "__b", "__n", "__base")
     rank = F.col("__base") + F.row_number().over(W.partitionBy("__b").orderBy(order)) - 1
     return df.join(base, "__b").withColumn("batch", F.floor(rank / size)).drop("__b", "__base")
 
 
+def best_of(scores: Column) -> Column:
+    """``struct<score, label>``: the highest score of an array and its position from 0, the first of equal ones; null if the array
+    is null or has no score."""
+    ranked = F.array_max(F.transform(scores, lambda x, i: F.when(x.isNotNull(), F.struct(x.alias("score"), (-i).alias("back")))))
+    return F.when(ranked.isNotNull(), F.struct(ranked["score"].alias("score"), (-ranked["back"]).cast("bigint").alias("label")))
+
+
 def best_label(scores: DataFrame, by: list[str], threshold: float | None = None) -> DataFrame:
     """The label of the highest score per group; of equal scores the first label."""
     scores = scores if threshold is None else scores.filter(F.col("score") >= threshold)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_WORDS = 200_000
+from ..runtime import materialize
+from .skew import fits
 
 
 def long_lexicon(lexicon: DataFrame) -> DataFrame:
@@ -23,9 +24,10 @@ def merge_lexicons(*lexicons: DataFrame) -> DataFrame:
     return both.groupBy("word").agg(F.array_sort(F.collect_set("pronunciation")).alias("pronunciations"))
 
 
-def small(df: DataFrame, rows: int = BROADCAST_WORDS) -> DataFrame:
-    """``df`` to be broadcast if it has no more than ``rows`` rows, else as it is (a shuffled join)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame) -> DataFrame:
+    """``df``, written, to be broadcast if its bytes allow it, else as it is (a shuffled join)."""
+    df = materialize(df)
+    return F.broadcast(df) if fits(df) else df
 
 
 def lookup(words: DataFrame, lexicon: DataFrame, word: str = "word", fallback: Callable[[Column], Column] | None = None) -> DataFrame:

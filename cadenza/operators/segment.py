@@ -17,13 +17,27 @@ EXTRA_MS = 50
 
 # --- silence, long form
 
-def silence_segments(df: DataFrame, silence_duration: float = 0.0, key: str = "utt_id", order: tuple[str, ...] = ORDER) -> DataFrame:
+def silence_segments(df: DataFrame, silence_duration: float = 0.0, key: str = "utt_id", order: tuple[str, ...] = ORDER, previous: bool = False) -> DataFrame:
     """Rows with ``segment`` from 0: a new one begins where the start, less the end of the row before, rounded to 3
-    places, is at least ``silence_duration``."""
-    df = with_previous(blocked(df), {"end_time": "__prev"}, key, order)
-    gap = F.round(F.col("start_time") - F.col("__prev"), 3)
-    df = running_total(df, F.when(F.col("__prev").isNull() | (gap >= silence_duration), 1).otherwise(0), "segment", key, order)
-    return df.withColumn("segment", F.col("segment") - 1).drop("__prev", "block")
+    places, is at least ``silence_duration``. With ``previous`` also ``prev_end`` and ``prev_pos`` of the row before, null where
+    a segment begins."""
+    df = with_previous(blocked(df), {"end_time": "prev_end", order[0]: "prev_pos"}, key, order)
+    gap = F.round(F.col("start_time") - F.col("prev_end"), 3)
+    begins = F.coalesce(gap >= silence_duration, F.lit(True))
+    df = df.withColumns({"__begins": begins, "prev_end": F.when(~begins, F.col("prev_end")), "prev_pos": F.when(~begins, F.col("prev_pos"))})
+    df = running_total(df, F.col("__begins").cast("int"), "segment", key, order).withColumn("segment", F.col("segment") - 1).drop("__begins", "block")
+    return df if previous else df.drop("prev_end", "prev_pos")
+
+
+def tagged_segments(df: DataFrame, minimum_empty_duration: float, empty_tag: str = "<EMPTY>", key: str = "utt_id") -> DataFrame:
+    """Long form of :func:`silence_segments` with ``previous``: a tag row between neighbours of one segment whose rounded gap is at
+    least the minimum. Tags have the position of the row before and ``is_tag`` true; they sort after it."""
+    item = lambda pos, text, start, end, tag: F.struct(pos.cast("bigint").alias("pos"), text.alias("text"), start.alias("start_time"), end.alias("end_time"), F.lit(tag).alias("is_tag"))
+    c = F.col
+    own = item(c("pos"), c("text"), c("start_time"), c("end_time"), False)
+    tag = F.when(F.round(c("start_time") - c("prev_end"), 3) >= minimum_empty_duration, item(c("prev_pos"), F.lit(empty_tag), c("prev_end"), c("start_time"), True))
+    rows = df.select(key, "segment", F.explode(F.array(own, tag)).alias("x")).filter("x is not null")
+    return rows.select(key, "x.pos", "x.text", "x.start_time", "x.end_time", "segment", "x.is_tag")
 
 
 def segment_bounds(df: DataFrame, key: str = "utt_id", order: tuple[str, ...] = ORDER) -> DataFrame:
@@ -45,16 +59,6 @@ def long_chunks(bounds: DataFrame, minimum_chunk_duration: float = 0.2, audio_ms
     return chunk_lengths(bounds, audio_ms).filter(F.col("chunk_ms") >= minimum_chunk_duration * 1000)
 
 
-def empty_tags(df: DataFrame, minimum_empty_duration: float, empty_tag: str = "<EMPTY>", key: str = "utt_id", order: tuple[str, ...] = ORDER) -> DataFrame:
-    """Long form with ``segment``: a tag row between neighbours of one segment whose rounded gap is at least the
-    minimum. Tags have the position of the row before and ``is_tag`` true; they sort after it."""
-    prev = with_previous(blocked(df), {"end_time": "__prev", "segment": "__seg", "pos": "__pos"}, key, order)
-    tags = prev.filter((F.col("__seg") == F.col("segment")) & (F.round(F.col("start_time") - F.col("__prev"), 3) >= minimum_empty_duration)).select(
-        key, F.col("__pos").alias("pos"), F.lit(empty_tag).alias("text"), F.col("__prev").alias("start_time"), F.col("start_time").alias("end_time"), "segment", F.lit(True).alias("is_tag")
-    )
-    return df.select(key, "pos", "text", "start_time", "end_time", "segment", F.lit(False).alias("is_tag")).unionByName(tags)
-
-
 def label_tags(tags: DataFrame, scores: DataFrame, threshold: float, key: str = "utt_id") -> DataFrame:
     """Tag rows with the label of their best score at or above ``threshold`` as text, else as they are. ``scores`` has
     ``key, segment, pos, label, score``; of equal scores the first by label wins."""
@@ -103,7 +107,8 @@ def _blocks_batch(left: pd.Series, right: pd.Series) -> pd.Series:
 
 def overlap_blocks(words: Column, truth: Column) -> Column:
     """``array<struct<at, n>>``: stretches of ``words`` that the sequence matcher finds equal in ``truth``."""
-    return F.pandas_udf(_blocks_batch, "array<struct<at:int,n:int>>")(words, truth)
+    # nondeterministic for the planner, as it would run twice for the filter that an explosion implies
+    return F.pandas_udf(_blocks_batch, "array<struct<at:int,n:int>>").asNondeterministic()(words, truth)
 
 
 def word_overlap_chunks(offsets: Column, truth: Column) -> Column:

@@ -10,13 +10,13 @@ from pyspark.sql.window import Window as W
 
 from .functions.paths import basename, language_of, parent, speaker_of, stem
 from .functions.text import DIACRITICS, TAGS, aligner_form, fold, glued, greedy_log_probability, int16_pcm, phoneme_form, sigmoid, split_words, tokens, transcript_form
-from .operators.dataset import batches, best_label, contained, log_record, phonemes_match, same_words, speaker_splits, total_duration
+from .operators.dataset import batches, best_of, contained, log_record, phonemes_match, same_words, speaker_splits, total_duration
 from .operators.lexicon import long_lexicon, lookup, merge_lexicons, missing_words, pronunciation_counts
 from .operators.metrics import equalised_lexicon, error_counts, error_rate, punctuated
 from .operators.offsets import ORDER, blocked, clean_offsets, joined_text, merge_on_delimiter, running_total, shift
 from .operators.periods import continuous_periods, silences
-from .operators.segment import empty_tags, label_tags, long_chunks, normalised_lexicon, phoneme_overlap_segments, segment_bounds, segment_manifest, silence_segments, word_overlap_chunks
-from .runtime import table
+from .operators.segment import label_tags, long_chunks, normalised_lexicon, phoneme_overlap_segments, segment_bounds, segment_manifest, silence_segments, tagged_segments, word_overlap_chunks
+from .runtime import materialize, table
 from .sources.readers import from_manifest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,7 +102,7 @@ def chunk_index_with_holes(spark, d):
 SELECT utt_id, pos, text, start_time, end_time, segment, false AS is_tag FROM s
 UNION ALL SELECT utt_id, ppos, '<EMPTY>', prev, start_time, segment, true FROM p WHERE pseg = segment AND round(start_time - prev, 3) >= 0.1""")
 def gap_tags(spark, d):
-    return empty_tags(_segments(spark, d, 0.3), 0.1)
+    return tagged_segments(silence_segments(_offsets(spark, d), 0.3, previous=True), 0.1)
 
 
 _LABELS = {"speech": 7, "music": 5, "noise": 3}
@@ -121,7 +121,7 @@ k AS (SELECT utt_id, segment, pos, label, max(((CAST(round(start_time * 1000) AS
 w AS (SELECT utt_id, segment, pos, first(label ORDER BY score DESC, label) AS label FROM k WHERE score >= 0.5 GROUP BY ALL)
 SELECT coalesce('<' || label || '>', '<EMPTY>') AS text, count(*) AS n FROM t LEFT JOIN w USING (utt_id, segment, pos) GROUP BY 1""")
 def noise_labels(spark, d):
-    tags = empty_tags(_segments(spark, d, 0.3), 0.1).filter("is_tag")
+    tags = materialize(tagged_segments(silence_segments(_offsets(spark, d), 0.3, previous=True), 0.1).filter("is_tag"))
     return label_tags(tags, _scores(tags), 0.5).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -415,8 +415,7 @@ def phoneme_match(spark, d):
 
 @query("SELECT vec_id, max(s) AS score, first(k ORDER BY s DESC, k) AS label FROM (SELECT vec_id, unnest(embedding) AS s, unnest(range(0, len(embedding))) AS k FROM embeddings) GROUP BY vec_id")
 def argmax_label(spark, d):
-    s = table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("label", "score")).withColumn("label", F.col("label").cast("bigint"))
-    return best_label(s, ["vec_id"]).select("vec_id", "score", "label")
+    return table(spark, d, "embeddings").select("vec_id", best_of(F.col("embedding")).alias("b")).filter("b is not null").select("vec_id", "b.score", "b.label")
 
 
 @query("SELECT vec_id, count(*) AS n, min(k) AS first_label FROM (SELECT vec_id, unnest(embedding) AS s, unnest(range(0, len(embedding))) AS k FROM embeddings) WHERE 1 / (1 + exp(-CAST(s AS DOUBLE))) >= 0.55 GROUP BY vec_id")

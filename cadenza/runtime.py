@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -14,23 +15,29 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests, laptops) a temporary one is set.
+    Where the session names none, a temporary one is set if everything runs in this process (tests, laptops); on a
+    cluster that is an error.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if sc.getCheckpointDir() is None:
+        if not re.match(r"local(\[.*\])?$", sc.master):
+            raise RuntimeError("on a cluster spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cadenza-"))
     return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table into the shared folder and read it back: computed once, lineage cut,
-    readable after the loss of any executor."""
+    readable after the loss of any executor. The table goes when the application ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 

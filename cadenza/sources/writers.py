@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterable
 from pathlib import Path
 
@@ -68,6 +67,3 @@ def write_counts(rows: DataFrame, path: str) -> None:
     """``(word, counts)`` as JSON lines, letters as they are."""
     rows.select(F.to_json(F.struct("word", "counts")).alias("value")).write.mode("overwrite").text(path)
 
-
-def read_config_json(path: str) -> dict:
-    return json.loads(Path(path).read_text(encoding="utf-8"))

@@ -209,3 +209,41 @@ def test_command_line(spark, tmp_path):
     assert [r["n"] for r in build(spark, a).collect()] == [4]
     a.command = "periods"
     assert build(spark, a).count() == 4
+
+
+def test_ranks_and_sums_in_stretches(spark):
+    import random
+
+    from cadenza.operators.dataset import batches, best_of, speaker_splits, sums_before
+
+    rng = random.Random(9)
+    ids = rng.sample(range(300_000), 400)
+    df = spark.createDataFrame([(i,) for i in ids], "row_id bigint")
+    assert {r["row_id"]: r["batch"] for r in batches(df, "row_id", block=50).collect()} == {i: k // 10 for k, i in enumerate(sorted(ids))}
+    sums = spark.createDataFrame([(i, i % 7) for i in sorted(ids)], "b bigint, n bigint")
+    assert {r["b"]: r["x"] for r in sums_before(sums, "b", "n", "x", width=1000).collect()} == {i: sum(j % 7 for j in ids if j < i) for i in ids}
+    people = [(f"s{k:03d}",) for k in range(200) for _ in range(1 + k % 3 // 2)] + [("big",)] * 40 + [(None,)]
+    got = speaker_splits(spark.createDataFrame(people, "speaker string")).collect()
+    counts = {}
+    for (s,) in people:
+        if s:
+            counts[s] = counts.get(s, 0) + 1
+    total, before, want = sum(counts.values()), 0, {}
+    for s in sorted(counts, key=lambda s: (-counts[s], s)):
+        want[s] = "train" if before < int(0.8 * total) else "test" if before < int(0.9 * total) else "validation"
+        before += counts[s]
+    assert {r["speaker"]: r["split"] for r in got} == want
+    best = spark.createDataFrame([(1, [0.5, 2.0, 2.0]), (2, []), (3, None), (4, [None, -1.0])], "i int, v array<double>").select("i", best_of(F.col("v")).alias("b")).collect()
+    assert {r["i"]: r["b"] and tuple(r["b"]) for r in best} == {1: (2.0, 1), 2: None, 3: None, 4: (-1.0, 1)}
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from cadenza.runtime import shared_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_dir(SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master=master), conf=conf))
+    assert shared_dir(spark)

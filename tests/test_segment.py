@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cadenza import schemas
 from cadenza.operators.dataset import contained, speaker_splits
 from cadenza.operators.offsets import BLOCK_ROWS, blocked, clean_offsets, drop_blank_tokens, merge_on_delimiter, to_long, to_nested
-from cadenza.operators.segment import empty_tags, insert_tags, merge_sounds, overlap_matches, phoneme_overlap_chunks, segment_bounds, shift_segment, silence_chunks, silence_segments, word_overlap_chunks
+from cadenza.operators.segment import insert_tags, merge_sounds, overlap_matches, phoneme_overlap_chunks, segment_bounds, shift_segment, silence_chunks, silence_segments, tagged_segments, word_overlap_chunks
 
 LONG = "utt_id string, pos bigint, text string, start_time double, end_time double, offset_id bigint"
 
@@ -122,8 +122,8 @@ def test_tags_and_shift(spark):
     got = one(spark, o, lambda c: F.transform(silence_chunks(c, 0.3), lambda s: insert_tags(s, 0.1)))
     assert [[x["text"] for x in s] for s in got] == [["a", "b", "<EMPTY>", "c"], ["d"]]
     assert spans(one(spark, o, lambda c: F.array(shift_segment(F.slice(c, 1, 2)))))[0] == [(0.0, 0.02), (0.04, 0.08)]
-    df = silence_segments(spark.createDataFrame([("u", i, *x, i) for i, x in enumerate(o)], LONG), 0.3)
-    assert [(r["start_time"], r["end_time"]) for r in empty_tags(df, 0.1).filter("is_tag").collect()] == [(1.7, 1.8)]
+    df = silence_segments(spark.createDataFrame([("u", i, *x, i) for i, x in enumerate(o)], LONG), 0.3, previous=True)
+    assert [(r["start_time"], r["end_time"]) for r in tagged_segments(df, 0.1).filter("is_tag").collect()] == [(1.7, 1.8)]
 
 
 def test_cleaning_and_converters(spark):
