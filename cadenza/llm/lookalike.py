@@ -104,6 +104,11 @@ def _read(token: str) -> tuple[frozenset[str], dict[str, int]]:
     return frozenset(s for _, s in letters), _exclusive(letters)
 
 
+def latin_look(text: str) -> str:
+    """Every letter that has a Latin look-alike as that one."""
+    return unicodedata.normalize("NFC", "".join(TO_LATIN.get(c, c) for c in unicodedata.normalize("NFD", text)))
+
+
 def dominant_script(text: str) -> str | None:
     """The script of most letters that belong to one script only; None where there is no such letter."""
     n: dict[str, int] = {}
