@@ -10,7 +10,8 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from . import schemas
 
@@ -31,14 +32,59 @@ class G2P(Protocol):
 
 
 class DictionaryG2P:
-    """Phonemes from a dictionary; words that lack there are spelled letter by letter."""
+    """Phonemes from a dictionary; words that lack there are spelled letter by letter. ``rule`` mends a word's phonemes."""
 
-    def __init__(self, words: dict[str, str], punctuation: str = "?,.!;"):
-        self.words, self.punctuation = words, punctuation
+    def __init__(self, words: dict[str, str], punctuation: str = "?,.!;", rule: Callable[[str, list[str]], list[str]] | None = None):
+        self.words, self.punctuation, self.rule = words, punctuation, rule
+
+    def _word(self, word: str) -> str:
+        said = self.words.get(word, " ".join(word)).split()
+        return " ".join(self.rule(word, said) if self.rule else said)
 
     def phonemes(self, text: str) -> list[str]:
         spaced = "".join(f" {c} " if c in self.punctuation else c for c in text.lower())
-        return [w if w in self.punctuation else self.words.get(w, " ".join(w)) for w in spaced.split()]
+        return [w if w in self.punctuation else self._word(w) for w in spaced.split()]
+
+
+def velar_nasal(word: str, phonemes: list[str], written: str = "ng", prenasal: str = "ᵑg", nasal: str = "ŋ") -> list[str]:
+    """Swahili ``ng'`` is a velar nasal alone: of the prenasalised stops of a word those written with an apostrophe become one.
+    Where the letters and the stops don't correspond, the phonemes stay."""
+    places = [i for i, p in enumerate(phonemes) if p == prenasal]
+    marked = [part.startswith("'") for part in word.split(written)[1:]]
+    if len(places) != len(marked):
+        return list(phonemes)
+    plain = {i for i, m in zip(places, marked, strict=True) if m}
+    return [nasal if i in plain else p for i, p in enumerate(phonemes)]
+
+
+#: Languages with a converter, and the rule of each.
+_RULES: dict[str, Callable | None] = {"en": None, "id": None, "sw": velar_nasal}
+_MAKERS: dict[str, Callable[[dict[str, str]], G2P]] = {}
+
+
+def register_g2p(language: str, make: Callable[[dict[str, str]], G2P]) -> None:
+    """Converter of a language, made of a dictionary of its words."""
+    _MAKERS[language.lower()] = make
+
+
+def get_g2p(code: str, words: dict[str, str]) -> G2P:
+    """The converter for a language code, whose region (``en-US``) doesn't matter; NotImplementedError if there is none."""
+    language = code.split("-")[0].lower()
+    if language in _MAKERS:
+        return _MAKERS[language](words)
+    if language not in _RULES:
+        raise NotImplementedError(f"no phonemes for {code}")
+    return DictionaryG2P(words, rule=_RULES[language])
+
+
+def spoken(make: Callable[[], G2P]) -> Callable[[Column], Column]:
+    """A column function from words to their phonemes, for words a lexicon lacks; the converter is made once per batch."""
+
+    def run(words: pd.Series) -> pd.Series:
+        g2p = make()
+        return pd.Series([None if w is None else " ".join(g2p.phonemes(w)) for w in words], dtype=object)
+
+    return F.pandas_udf(run, "string")
 
 
 def transcribe(df: DataFrame, make: Callable[[], Transcriber], key: str = "audio") -> DataFrame:
@@ -92,23 +138,3 @@ def wav_bytes(samples: np.ndarray, rate: int = 16_000) -> bytes:
         w.setframerate(rate)
         w.writeframes((np.clip(samples, -1, 1) * 32767).astype(np.int16).tobytes())
     return out.getvalue()
-
-
-def stride_plan(samples: int, chunk: int, left: int | None = None, right: int | None = None) -> list[tuple[int, int, int, int]]:
-    """``(first, end, left overlap, right overlap)`` of overlapping chunks, a sixth on each side by default; the outer ends
-    have no overlap."""
-    left = round(chunk / 6) if left is None else left
-    right = round(chunk / 6) if right is None else right
-    if chunk < left + right:
-        raise ValueError("the chunk is shorter than its overlaps")
-    out = []
-    step = chunk - left - right
-    for a in range(0, samples, step or 1):
-        end = min(a + chunk, samples)
-        last = a + chunk >= samples if right == 0 else a + chunk > samples
-        own = 0 if a == 0 else left
-        if end - a > own:
-            out.append((a, end, own, 0 if last else right))
-        if last:
-            break
-    return out

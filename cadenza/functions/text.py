@@ -118,8 +118,8 @@ def aligner_form(c: Column) -> Column:
 
 
 def int16_pcm(c: Column) -> Column:
-    """Float samples to 16-bit, truncating."""
-    return F.transform(c, lambda x: (x * F.lit(32767.0)).cast("int").cast("smallint"))
+    """Float samples to 16-bit, clipped to [-1, 1] and truncated."""
+    return F.transform(c, lambda x: (F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x)) * F.lit(32767.0)).cast("int").cast("smallint"))
 
 
 def float_pcm(c: Column, width: int = 2) -> Column:

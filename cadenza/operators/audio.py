@@ -62,6 +62,36 @@ def cut_chunks(chunks: DataFrame, contents: DataFrame, start: str = "start_time"
     return listed.mapInPandas(run, schema)
 
 
+def fixed_chunks(df: DataFrame, samples: str, size: int, least: int = 400) -> DataFrame:
+    """``df`` with ``k, first_sample, end_sample`` of its chunks of ``size`` samples; a tail shorter than ``least`` is dropped, and a row
+    of no samples gives none."""
+    n = F.col(samples).cast("bigint")
+    k = df.filter(n > 0).withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / size))))
+    return k.withColumns({"first_sample": F.col("k") * size, "end_sample": F.least(n, (F.col("k") + 1) * size)}).filter(F.col("end_sample") - F.col("first_sample") >= least)
+
+
+def strided_chunks(samples: Column, chunk: int, left: int | None = None, right: int | None = None) -> Column:
+    """``array<struct<first, end, left, right>>``: overlapping chunks of a recording, a sixth of the chunk on each side by default; the
+    outer ends have no overlap. Chunks that would be nothing but overlap are left out."""
+    left = round(chunk / 6) if left is None else left
+    right = round(chunk / 6) if right is None else right
+    if chunk < left + right:
+        raise ValueError("the chunk is shorter than its overlaps")
+    step = max(chunk - left - right, 1)
+    n = samples.cast("bigint")
+    last = (lambda a: a + chunk >= n) if right == 0 else (lambda a: a + chunk > n)
+    starts = F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1, F.lit(step).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+    own = lambda a: F.when(a == 0, 0).otherwise(left)
+    # those up to the first that reaches the end, which have more than their overlap
+    kept = F.filter(starts, lambda a: ((a == 0) | ~last(a - step)) & (F.least(a + chunk, n) - a > own(a)))
+    return F.transform(kept, lambda a: F.struct(a.alias("first"), F.least(a + chunk, n).alias("end"), own(a).cast("int").alias("left"), F.when(last(a), 0).otherwise(right).cast("int").alias("right")))
+
+
+def long_enough(samples: Column, least: int = 1600) -> Column:
+    """Whether an array has more than ``least`` samples."""
+    return F.size(samples) > least
+
+
 def score_gaps(tags: DataFrame, make: Callable[[], NoiseScorer], threshold: float) -> DataFrame:
     """``(audio, segment, pos, label)``: the best label at or above the threshold of each gap ``(audio, segment, pos, start_time,
     end_time)``; gaps without one give no row, so none takes another's label. Of equal scores the first label wins."""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.paths import stem
 from ..functions.text import glued
 from ..runtime import materialize
 
@@ -81,6 +82,55 @@ def contained(outer: DataFrame, inner: DataFrame, by: str, tolerance: float = 0.
     return met.unionByName(none.withColumn("inner_text", F.lit(None).cast("string"))).drop("__o")
 
 
+def before_after(df: DataFrame, keep: Column, by: str, samples: Column, rate: float = 16_000.0) -> DataFrame:
+    """``(by, n, kept, hours)``: rows there are, rows to be kept, and the hours of all samples."""
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(keep, 1)).alias("kept"), F.round(F.sum(samples.cast("double")) / F.lit(rate) / F.lit(3600.0), 6).alias("hours"))
+
+
+def without_prefixes(text: Column, prefixes: tuple[str, ...]) -> Column:
+    """Whether a text starts with none of the prefixes; null for null."""
+    out = F.lit(True)
+    for x in prefixes:
+        out = out & ~text.startswith(x)
+    return out
+
+
+def with_partner(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
+    """Rows whose ``on`` is in ``other``."""
+    return df.join(other.select(on), on, "left_semi")
+
+
+def without_partner(df: DataFrame, *others: DataFrame, on: str) -> DataFrame:
+    """Rows whose ``on`` is not in all of ``others``: what is there only in part counts as missing."""
+    have = others[0].select(on)
+    for x in others[1:]:
+        have = have.join(x.select(on), on, "left_semi")
+    return df.join(have, on, "left_anti")
+
+
+def preferred_text(df: DataFrame, on: str, *texts: DataFrame) -> DataFrame:
+    """``df`` with ``text`` from the first of ``texts`` ``(on, text)`` that has one; the last of a key's equal rows by text wins."""
+    names = []
+    for i, t in enumerate(texts):
+        names.append(f"__t{i}")
+        df = df.join(t.groupBy(on).agg(F.max("text").alias(names[-1])), on, "left")
+    return df.withColumn("text", F.coalesce(*names)).drop(*names)
+
+
+def by_base_name(df: DataFrame, aligned: DataFrame, path: str = "audio") -> DataFrame:
+    """``df`` with ``offsets`` of ``aligned`` ``(path, offsets)`` whose file has the same name without folder and extension; of equal
+    names the last path counts, and without one the offsets are empty."""
+    named = aligned.select(stem(F.col(path)).alias("__stem"), path, "offsets").groupBy("__stem").agg(F.max_by("offsets", path).alias("__o"))
+    found = df.withColumn("__stem", stem(F.col(path))).join(named, "__stem", "left").drop("__stem")
+    return found.withColumn("offsets", F.coalesce("__o", F.slice("__o", 1, 0), F.array().cast(aligned.schema["offsets"].dataType))).drop("__o")
+
+
+def keep_labelled(df: DataFrame, scores: DataFrame, key: str, label: str) -> DataFrame:
+    """Rows whose best label is ``label``; ``scores`` is ``(key, scores)`` of a classifier, the first of equal scores by label."""
+    best = scores.select(key, F.array_min(F.transform("scores", lambda x: F.struct((-x["score"]).alias("s"), x["label"].alias("label")))).alias("__b"))
+    return df.join(best.filter(F.col("__b.label") == label).select(key), key, "left_semi")
+
+
 def total_duration(df: DataFrame, by: str, duration: Column) -> DataFrame:
     return df.groupBy(by).agg(F.round(F.sum(duration), 3).alias("duration"))
 

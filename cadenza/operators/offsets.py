@@ -73,9 +73,25 @@ def shift(df: DataFrame, by: list[str], order: tuple[str, ...] = ORDER) -> DataF
     return df.join(first, by).withColumn("start_time", F.round(F.col("start_time") - F.col("__first"), 3)).withColumn("end_time", F.round(F.col("end_time") - F.col("__first"), 3)).drop("__first")
 
 
+def is_blank_token(text: Column) -> Column:
+    """Whether an offset's text is the single space that stands between words."""
+    return F.coalesce(text == " ", F.lit(False))
+
+
+def last_end(df: DataFrame, key: str = "utt_id", order: tuple[str, ...] = ORDER) -> DataFrame:
+    """``(key, duration)``: the end of the last row in order, which isn't always the latest end."""
+    return df.groupBy(key).agg(F.max_by("end_time", F.struct(*order)).alias("duration"))
+
+
+def valid_recordings(df: DataFrame, key: str = "utt_id") -> DataFrame:
+    """``(key, valid, n)``: whether every row of a recording has text and times, in long form."""
+    whole = F.col("text").isNotNull() & F.col("start_time").isNotNull() & F.col("end_time").isNotNull()
+    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.bool_and(whole).alias("valid"), F.count(F.lit(1)).alias("n"))
+
+
 def drop_blank_tokens(offsets: Column, keep_whitespace: bool = False) -> Column:
     """Nested offsets without single-space tokens (unless kept), texts stripped (unless kept)."""
-    kept = offsets if keep_whitespace else F.filter(offsets, lambda o: o["text"] != " ")
+    kept = offsets if keep_whitespace else F.filter(offsets, lambda o: ~is_blank_token(o["text"]))
     return F.transform(
         kept,
         lambda o: F.struct(

@@ -68,10 +68,15 @@ def label_tags(tags: DataFrame, scores: DataFrame, threshold: float, key: str =
 
 
 def phoneme_overlap_segments(sounds: DataFrame, variants: DataFrame, key: str = "utt_id", order: tuple[str, ...] = ORDER) -> DataFrame:
-    """``(key, first_word, n, start_time, end_time)``: runs of merged words whose sounds match the ground truth.
-    ``variants`` has ``key, m, j, heard``: a phoneme form of word ``j`` of the ``m`` words of the truth."""
-    words = merge_on_delimiter(sounds, F.coalesce(F.col("text") == " ", F.lit(False)), key, order).withColumn("heard", phoneme_form(F.col("text")))
-    m = words.withColumnRenamed("word", "i").join(variants, [key, "heard"]).filter("i < m and j >= i").select(key, "i", "start_time", "end_time").distinct()
+    """:func:`phoneme_overlap_runs` of sounds, merged to words between single spaces."""
+    words = merge_on_delimiter(sounds, F.coalesce(F.col("text") == " ", F.lit(False)), key, order)
+    return phoneme_overlap_runs(words.select(key, F.col("word").alias("i"), "start_time", "end_time", phoneme_form(F.col("text")).alias("heard")), variants, key)
+
+
+def phoneme_overlap_runs(words: DataFrame, variants: DataFrame, key: str = "utt_id") -> DataFrame:
+    """``(key, first_word, n, start_time, end_time)``: runs of words ``(key, i, start_time, end_time, heard)`` whose sounds match the
+    ground truth. ``variants`` has ``key, m, j, heard``: a phoneme form of word ``j`` of the ``m`` words of the truth."""
+    m = words.join(variants, [key, "heard"]).filter("i < m and j >= i").select(key, "i", "start_time", "end_time").distinct()
     # matches lie within the ground truth, so a recording has no more of them than its truth has words
     r = m.withColumn("k", F.col("i") - F.row_number().over(W.partitionBy(key).orderBy("i")))
     return r.groupBy(key, "k").agg(F.min("i").alias("first_word"), F.count(F.lit(1)).alias("n"), F.min_by("start_time", "i").alias("start_time"), F.max_by("end_time", "i").alias("end_time")).drop("k")

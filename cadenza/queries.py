@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +11,20 @@ from pyspark.sql.window import Window as W
 
 from .functions.paths import basename, language_of, parent, speaker_of, stem
 from .functions.text import DIACRITICS, TAGS, aligner_form, fold, glued, greedy_log_probability, int16_pcm, phoneme_form, sigmoid, split_words, tokens, transcript_form
-from .operators.dataset import batches, best_of, contained, log_record, phonemes_match, same_words, speaker_splits, total_duration
-from .operators.lexicon import long_lexicon, lookup, merge_lexicons, missing_words, pronunciation_counts
+from .backends import classify
+from .operators.audio import fixed_chunks as chunked
+from .operators.audio import strided_chunks
+from .operators.dataset import (
+    batches, before_after, best_of, by_base_name, contained, keep_labelled, log_record, phonemes_match, preferred_text, same_words, speaker_splits, total_duration, with_partner, without_partner, without_prefixes,
+)
+from .operators.lexicon import long_lexicon, lookup, merge_lexicons, missing_words, pronunciation_counts, small
 from .operators.metrics import equalised_lexicon, error_counts, error_rate, punctuated
-from .operators.offsets import ORDER, blocked, clean_offsets, joined_text, merge_on_delimiter, running_total, shift
+from .operators.offsets import ORDER, blocked, clean_offsets, is_blank_token, joined_text, last_end, merge_on_delimiter, running_total, shift, to_nested, valid_recordings
 from .operators.periods import continuous_periods, silences
-from .operators.segment import label_tags, long_chunks, normalised_lexicon, phoneme_overlap_segments, segment_bounds, segment_manifest, silence_segments, tagged_segments, word_overlap_chunks
+from .operators.segment import label_tags, long_chunks, normalised_lexicon, phoneme_overlap_runs, segment_bounds, segment_manifest, silence_segments, tagged_segments, word_overlap_chunks
 from .runtime import materialize, table
-from .sources.readers import from_manifest
+from .sources.readers import from_manifest, modified_since, parsed_lines, with_sidecar
+from .sources.writers import flatten_manifest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,95 +148,106 @@ def merged_sounds(spark, d):
     return merge_on_delimiter(_offsets(spark, d), F.col("text").isNull() | ~F.col("text").rlike(r"\S"))
 
 
-_GT = r"""u AS (SELECT id, max(lower(regexp_replace(ground_truth, '^\s+|\s+$', '', 'g'))) AS g FROM utterances WHERE ground_truth <> '' GROUP BY id),
-gt AS (SELECT id AS utt_id, w AS word, j - 1 AS j, n FROM (SELECT id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS j, len(ws) AS n FROM (SELECT id, list_filter(regexp_split_to_array(g, '\s+'), lambda x: x <> '') AS ws FROM u)))"""
+_GT = r"""u AS (SELECT audio, id, lower(regexp_replace(ground_truth, '^\s+|\s+$', '', 'g')) AS g FROM utterances WHERE ground_truth <> ''),
+gt AS (SELECT audio, id, w AS word, j - 1 AS j, n FROM (SELECT audio, id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS j, len(ws) AS n FROM (SELECT audio, id, list_filter(regexp_split_to_array(g, '\s+'), lambda x: x <> '') AS ws FROM u))),
+oa AS (SELECT u.audio, o.* FROM o JOIN u ON u.id = o.utt_id)"""
+_WA = "PARTITION BY audio ORDER BY pos, start_time, end_time, offset_id"
+
+
+def _truths(spark, d):
+    """``(audio, j, m, word)``: the words of the truths of all recordings that have one."""
+    u = table(spark, d, "utterances").filter("ground_truth <> ''").select("audio", split_words(fold(F.col("ground_truth"))).alias("ws"))
+    return u.select("audio", F.size("ws").alias("m"), F.posexplode("ws").alias("j", "word"))
+
+
+def _heard(spark, d):
+    """Offsets of the recordings that have a truth, by audio: an id may have several."""
+    u = table(spark, d, "utterances").filter("ground_truth <> ''").select("audio", F.col("id").alias("utt_id"))
+    return _offsets(spark, d).join(u, "utt_id").drop("utt_id")
 
 
 @query(rf"""WITH {_O}, {_GT},
-i AS (SELECT utt_id, row_number() OVER ({_W}) - 1 AS i, lower(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS word FROM o),
-m AS (SELECT DISTINCT i.utt_id, i FROM i JOIN gt ON i.utt_id = gt.utt_id AND i.word = gt.word AND i < n AND j >= i),
-r AS (SELECT utt_id, i, i - row_number() OVER (PARTITION BY utt_id ORDER BY i) AS k FROM m)
-SELECT utt_id, min(i) AS first_word, count(*) AS n FROM r GROUP BY utt_id, k""")
+i AS (SELECT audio, row_number() OVER ({_WA}) - 1 AS i, lower(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS word FROM oa),
+m AS (SELECT DISTINCT i.audio, i FROM i JOIN gt ON i.audio = gt.audio AND i.word = gt.word AND i < n AND j >= i),
+r AS (SELECT audio, i, i - row_number() OVER (PARTITION BY audio ORDER BY i) AS k FROM m)
+SELECT audio, min(i) AS first_word, count(*) AS n FROM r GROUP BY audio, k""")
 def truth_overlap(spark, d):
     """Long form of the overlap with the ground truth: words of the first ones that the truth has at their place or later."""
-    u = table(spark, d, "utterances").filter("ground_truth <> ''").groupBy("id").agg(F.max(fold(F.col("ground_truth"))).alias("g"))
-    gt = u.select(F.col("id").alias("utt_id"), split_words(F.col("g")).alias("ws")).select("utt_id", F.size("ws").alias("m"), F.posexplode("ws").alias("j", "word"))
-    i = running_total(blocked(_offsets(spark, d)), F.lit(1), "i").select("utt_id", (F.col("i") - 1).alias("i"), fold(F.col("text")).alias("word"))
-    m = i.join(gt, ["utt_id", "word"]).filter("i < m and j >= i").select("utt_id", "i").distinct()
-    # matches lie within the ground truth, so a recording has no more of them than its truth has words
-    r = m.withColumn("k", F.col("i") - F.row_number().over(W.partitionBy("utt_id").orderBy("i")))
-    return r.groupBy("utt_id", "k").agg(F.min("i").alias("first_word"), F.count(F.lit(1)).alias("n")).drop("k")
+    i = running_total(blocked(_heard(spark, d)), F.lit(1), "i", "audio").select("audio", (F.col("i") - 1).alias("i"), fold(F.col("text")).alias("heard"), "start_time", "end_time")
+    return phoneme_overlap_runs(i, _truths(spark, d).withColumnRenamed("word", "heard"), "audio").select("audio", "first_word", "n")
 
 
 @query(rf"""WITH {_O}, {_GT},
 form AS (SELECT DISTINCT word, regexp_replace(translate(p, '{DIACRITICS}', ''), '^\s+|\s+$', '', 'g') AS variant, p FROM (SELECT word, unnest(pronunciations) AS p FROM lexicon) WHERE word IS NOT NULL AND p IS NOT NULL),
-v AS (SELECT gt.utt_id, gt.j, gt.n, coalesce(form.variant, gt.word) AS variant FROM gt LEFT JOIN form ON form.word = gt.word),
+v AS (SELECT gt.audio, gt.j, gt.n, coalesce(form.variant, gt.word) AS variant FROM gt LEFT JOIN form ON form.word = gt.word),
 said AS (SELECT word, min(p) AS p FROM form GROUP BY word),
-x AS (SELECT o.*, CASE WHEN o.text = ' ' THEN [' '] ELSE list_filter(regexp_split_to_array(coalesce(said.p, lower(regexp_replace(o.text, '^\s+|\s+$', '', 'g')), ''), '\s+'), lambda t: t <> '') || [' '] END AS sounds
-      FROM o LEFT JOIN said ON said.word = lower(regexp_replace(o.text, '^\s+|\s+$', '', 'g')) WHERE o.utt_id IN (SELECT utt_id FROM gt)),
-y AS (SELECT utt_id, pos, start_time, end_time, offset_id, unnest(sounds) AS sound, unnest(range(0, len(sounds))) AS k FROM x),
-z AS (SELECT *, count(*) FILTER (sound = ' ') OVER (PARTITION BY utt_id ORDER BY pos, start_time, end_time, offset_id, k ROWS UNBOUNDED PRECEDING) AS g FROM y),
-w AS (SELECT utt_id, g, string_agg(sound, ' ' ORDER BY pos, start_time, end_time, offset_id, k) AS text, first(start_time ORDER BY pos, start_time, end_time, offset_id, k) AS start_time,
+x AS (SELECT oa.*, CASE WHEN oa.text = ' ' THEN [' '] ELSE list_filter(regexp_split_to_array(coalesce(said.p, lower(regexp_replace(oa.text, '^\s+|\s+$', '', 'g')), ''), '\s+'), lambda t: t <> '') || [' '] END AS sounds
+      FROM oa LEFT JOIN said ON said.word = lower(regexp_replace(oa.text, '^\s+|\s+$', '', 'g'))),
+y AS (SELECT audio, pos, start_time, end_time, offset_id, unnest(sounds) AS sound, unnest(range(0, len(sounds))) AS k FROM x),
+z AS (SELECT *, count(*) FILTER (sound = ' ') OVER (PARTITION BY audio ORDER BY pos, start_time, end_time, offset_id, k ROWS UNBOUNDED PRECEDING) AS g FROM y),
+w AS (SELECT audio, g, string_agg(sound, ' ' ORDER BY pos, start_time, end_time, offset_id, k) AS text, first(start_time ORDER BY pos, start_time, end_time, offset_id, k) AS start_time,
         last(end_time ORDER BY pos, start_time, end_time, offset_id, k) AS end_time FROM z WHERE sound <> ' ' GROUP BY ALL),
-i AS (SELECT *, row_number() OVER (PARTITION BY utt_id ORDER BY g) - 1 AS i, regexp_replace(translate(text, '{DIACRITICS}', ''), '^\s+|\s+$', '', 'g') AS heard FROM w),
-m AS (SELECT DISTINCT i.utt_id, i.i, i.start_time, i.end_time FROM i JOIN v ON v.utt_id = i.utt_id AND v.variant = i.heard AND i.i < v.n AND v.j >= i.i),
-r AS (SELECT *, i - row_number() OVER (PARTITION BY utt_id ORDER BY i) AS k FROM m)
-SELECT utt_id, min(i) AS first_word, count(*) AS n, first(start_time ORDER BY i) AS start_time, last(end_time ORDER BY i) AS end_time FROM r GROUP BY utt_id, k""")
+i AS (SELECT *, row_number() OVER (PARTITION BY audio ORDER BY g) - 1 AS i, regexp_replace(translate(text, '{DIACRITICS}', ''), '^\s+|\s+$', '', 'g') AS heard FROM w),
+m AS (SELECT DISTINCT i.audio, i.i, i.start_time, i.end_time FROM i JOIN v ON v.audio = i.audio AND v.variant = i.heard AND i.i < v.n AND v.j >= i.i),
+r AS (SELECT *, i - row_number() OVER (PARTITION BY audio ORDER BY i) AS k FROM m)
+SELECT audio, min(i) AS first_word, count(*) AS n, first(start_time ORDER BY i) AS start_time, last(end_time ORDER BY i) AS end_time FROM r GROUP BY audio, k""")
 def phoneme_overlap(spark, d):
     """Long form of the phoneme overlap. The tables hold words, so each is said first: its least pronunciation, or itself
-    out of the lexicon, and a space; then sounds are merged to words and matched with the truth's variants."""
-    u = table(spark, d, "utterances").filter("ground_truth <> ''").groupBy("id").agg(F.max(fold(F.col("ground_truth"))).alias("g"))
-    gt = u.select(F.col("id").alias("utt_id"), split_words(F.col("g")).alias("ws")).select("utt_id", F.size("ws").alias("m"), F.posexplode("ws").alias("j", "word"))
+    out of the lexicon; then words are matched with the truth's variants. As a word's sounds lie between single spaces, what
+    merging them would give is the pronunciation; ``merged_sounds`` merges."""
     lex = table(spark, d, "lexicon")
-    v = lookup(gt, normalised_lexicon(lex)).select("utt_id", "m", "j", F.explode("pronunciations").alias("heard"))
+    variants = lookup(_truths(spark, d), normalised_lexicon(lex)).select("audio", "m", "j", F.explode("pronunciations").alias("heard"))
     said = long_lexicon(lex).groupBy("word").agg(F.min("pronunciation").alias("p")).select("word", F.array("p").alias("pronunciations"))
-    o = _offsets(spark, d).join(gt.select("utt_id").distinct(), "utt_id", "left_semi").withColumn("word", fold(F.col("text")))
-    space = F.array(F.lit(" "))
-    o = lookup(o, said, fallback=lambda w: F.coalesce(w, F.lit("")))
-    sounds = F.when(F.col("text") == " ", space).otherwise(F.concat(split_words(F.get("pronunciations", F.lit(0))), space))
-    order = (*ORDER, "k")
-    o = o.select("utt_id", *ORDER, F.posexplode(sounds).alias("k", "text"))
-    return phoneme_overlap_segments(o, v, order=order)
+    o = lookup(_heard(spark, d).withColumn("word", fold(F.col("text"))), said, fallback=lambda w: F.coalesce(w, F.lit("")))
+    sounds = F.array_join(split_words(F.get("pronunciations", F.lit(0))), " ")
+    o = o.select("audio", *ORDER, sounds.alias("sounds")).filter("sounds <> ''")
+    words = running_total(blocked(o), F.lit(1), "i", "audio").select("audio", (F.col("i") - 1).alias("i"), "start_time", "end_time", phoneme_form(F.col("sounds")).alias("heard"))
+    return phoneme_overlap_runs(words, variants, "audio")
 
 
 @query()
 def word_overlap(spark, d):
     """Sequence-matcher segments of recordings with a ground truth, each matched whole."""
-    u = table(spark, d, "utterances").filter("ground_truth <> ''").groupBy("id").agg(F.max("ground_truth").alias("g")).select(F.col("id").alias("utt_id"), split_words(F.col("g")).alias("truth"))
-    o = _offsets(spark, d).join(u.select("utt_id"), "utt_id", "left_semi")
-    item = F.struct("pos", "start_time", "end_time", "offset_id", "text")
-    nested = o.groupBy("utt_id").agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: F.struct(x["text"].alias("text"), x["start_time"].alias("start_time"), x["end_time"].alias("end_time"))).alias("offsets"))
-    found = nested.join(u, "utt_id").select("utt_id", F.posexplode(word_overlap_chunks(F.col("offsets"), F.col("truth"))).alias("segment", "s"))
-    return found.select("utt_id", "segment", F.size("s").alias("n"), F.get("s", F.lit(0))["start_time"].alias("start_time"), joined_text(F.col("s")).alias("text"))
+    u = table(spark, d, "utterances").filter("ground_truth <> ''").select("audio", split_words(F.col("ground_truth")).alias("truth"))
+    found = to_nested(_heard(spark, d), "audio").join(u, "audio").select("audio", F.posexplode(word_overlap_chunks(F.col("offsets"), F.col("truth"))).alias("segment", "s"))
+    return found.select("audio", "segment", F.size("s").alias("n"), F.get("s", F.lit(0))["start_time"].alias("start_time"), joined_text(F.col("s")).alias("text"))
 
 
 @query(f"""WITH {_seg(0.3)}
-SELECT b.utt_id, b.segment, o.pos AS inner_pos, o.start_time AS inner_start FROM (SELECT * FROM b WHERE end_time > start_time AND n > 1) b
+SELECT b.utt_id, b.segment, o.pos AS inner_pos, o.start_time AS inner_start FROM b
 LEFT JOIN o ON o.utt_id = b.utt_id AND o.start_time >= b.start_time - 0.06 AND o.end_time <= b.end_time + 0.06""")
 def interval_containment(spark, d):
     o = _offsets(spark, d)
-    b = segment_bounds(silence_segments(o, 0.3)).filter("end_time > start_time and n > 1").select("utt_id", "segment", "start_time", "end_time")
+    b = segment_bounds(silence_segments(o, 0.3)).select("utt_id", "segment", "start_time", "end_time")
     met = contained(b, o.select("utt_id", "start_time", "end_time", F.col("pos").cast("string").alias("text")), "utt_id", cell=30.0)
     return met.select("utt_id", "segment", F.col("inner_text").cast("bigint").alias("inner_pos"), "inner_start")
 
 
 @query(f"WITH {_O} SELECT utt_id, last(end_time ORDER BY pos, start_time, end_time, offset_id) AS duration FROM o GROUP BY 1")
 def last_end_duration(spark, d):
-    return _offsets(spark, d).groupBy("utt_id").agg(F.max_by("end_time", F.struct(*ORDER)).alias("duration"))
+    return last_end(_offsets(spark, d))
 
 
-@query(f"WITH {_O} SELECT utt_id, count(*) AS n, count(*) FILTER (text <> ' ') AS kept FROM o GROUP BY 1")
+@query(f"WITH {_O} SELECT utt_id, count(*) AS n, count(*) FILTER (text IS DISTINCT FROM ' ') AS kept FROM o GROUP BY 1")
 def whitespace_tokens(spark, d):
-    return _offsets(spark, d).groupBy("utt_id").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("text") != " ", 1)).alias("kept"))
+    return _offsets(spark, d).groupBy("utt_id").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~is_blank_token(F.col("text")), 1)).alias("kept"))
 
 
 @query(f"""WITH {_O}, l AS (SELECT utt_id, last(end_time ORDER BY pos, start_time, end_time, offset_id) AS duration FROM o GROUP BY 1),
-c AS (SELECT utt_id, unnest(range(0, CAST(ceil(duration / 15) AS BIGINT))) AS k, CAST(round(duration * 16000) AS BIGINT) AS n FROM l WHERE duration > 0)
+c AS (SELECT utt_id, unnest(range(0, CAST(ceil(round(duration * 16000) / 240000) AS BIGINT))) AS k, CAST(round(duration * 16000) AS BIGINT) AS n FROM l WHERE duration > 0)
 SELECT utt_id, k, k * 240000 AS first_sample, least(n, (k + 1) * 240000) AS end_sample FROM c WHERE least(n, (k + 1) * 240000) - k * 240000 >= 400""")
 def fixed_chunks(spark, d):
-    l = last_end_duration(spark, d).filter("duration > 0").select("utt_id", F.round(F.col("duration") * 16000).cast("bigint").alias("n"), F.ceil(F.col("duration") / 15).alias("c"))
-    k = l.select("utt_id", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("c") - 1)).alias("k"))
-    return k.select("utt_id", "k", (F.col("k") * 240000).alias("first_sample"), F.least("n", (F.col("k") + 1) * 240000).alias("end_sample")).filter("end_sample - first_sample >= 400")
+    l = last_end_duration(spark, d).withColumn("n", F.round(F.col("duration") * 16000).cast("bigint"))
+    return chunked(l, "n", 240_000).select("utt_id", "k", "first_sample", "end_sample")
+
+
+@query(r"""WITH n AS (SELECT audio, CAST(strlen(ground_truth) * 3000 AS BIGINT) AS n FROM utterances), k AS (SELECT audio, n, a FROM (SELECT audio, n, unnest(range(0, n, 160000)) AS a FROM n))
+SELECT audio, a AS first, least(a + 240000, n) AS "end", CASE WHEN a = 0 THEN 0 ELSE 40000 END AS "left", CASE WHEN a + 240000 > n THEN 0 ELSE 40000 END AS "right" FROM k
+WHERE (a = 0 OR a - 160000 + 240000 <= n) AND least(a + 240000, n) - a > CASE WHEN a = 0 THEN 0 ELSE 40000 END""")
+def strided_plan(spark, d):
+    """Overlapping chunks for recognition; the length of the truth stands in for that of the audio."""
+    u = table(spark, d, "utterances").select("audio", F.explode(strided_chunks(F.octet_length("ground_truth").cast("bigint") * 3000, 240_000)).alias("c"))
+    return u.select("audio", "c.first", "c.end", "c.left", "c.right")
 
 
 # --- text
@@ -253,7 +271,14 @@ def word_tokens(spark, d):
     return table(spark, d, "manifest").select("row_id", F.when(F.col("text").isNotNull(), F.array_join(tokens(F.col("text")), " ")).alias("words"))
 
 
-@query()
+_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)).replace("＇", "")
+
+
+_BLANKS = "".join(chr(c) for c in range(0x80, 0x3001) if unicodedata.category(chr(c)) == "Zs")
+_NARROW = "".join(chr(ord(c) - 0xFEE0) for c in _WIDE) + " " * len(_BLANKS)
+
+
+@query(rf"""SELECT row_id, regexp_replace(regexp_replace(lower(strip_accents(nfc_normalize(translate(text, '{_WIDE}{_BLANKS}', '{_NARROW}')))), '[!-/:-@\[-`{{-~]', '', 'g'), '\s+', ' ', 'g') AS form FROM manifest""")
 def aligner_forms(spark, d):
     return table(spark, d, "manifest").select("row_id", aligner_form(F.col("text")).alias("form"))
 
@@ -311,12 +336,12 @@ def phoneme_counts(spark, d):
 
 
 def _per_counts(spark, d):
-    """Every lexicon pronunciation as a prediction, each of its stressed vowels lost, against all variants of its word."""
+    """The phonemes of each recognised word against the variants of the truth's word at its place, both in the lexicon."""
     lex = table(spark, d, "lexicon")
-    long = long_lexicon(lex)
-    said = long.select("word", F.filter(split_words(F.regexp_replace("pronunciation", "ɹ", "")), lambda x: x != "").alias("said"))
-    eq = equalised_lexicon(lex)
-    return error_counts(said.join(eq, "word").withColumn("stack", F.array("variants")), "stack", "said")
+    said = long_lexicon(lex).groupBy("word").agg(split_words(F.min("pronunciation")).alias("said")).withColumnRenamed("word", "heard")
+    i = running_total(blocked(_heard(spark, d).filter("text <> ' '")), F.lit(1), "i", "audio").select("audio", (F.col("i") - 1).alias("j"), fold(F.col("text")).alias("heard"))
+    rows = i.join(_truths(spark, d).select("audio", "j", "word"), ["audio", "j"]).join(small(said), "heard").join(small(equalised_lexicon(lex)), "word")
+    return error_counts(rows.withColumn("stack", F.array("variants")), "stack", "said")
 
 
 @query()
@@ -331,12 +356,12 @@ def per_by_word(spark, d):
 
 @query()
 def punctuation_alignment(spark, d):
-    """Each pair of neighbouring lexicon words of a language as a sentence of two parts, its sounds aligned with it."""
+    """Three neighbouring lexicon words as a sentence of three parts, its sounds aligned with it."""
     lex = long_lexicon(table(spark, d, "lexicon")).groupBy("word").agg(F.min("pronunciation").alias("p"))
-    w = lex.withColumn("k", F.substring("word", 1, 2))
-    pairs = w.select("word", "p", F.lead("p").over(W.partitionBy("k").orderBy("word")).alias("q")).filter("q is not null")
-    sounds = split_words(F.concat_ws(" ", "p", "q"))
-    rows = pairs.select("word", F.transform(sounds, lambda x, i: F.struct(x.alias("text"), (i * F.lit(0.1)).alias("start_time"), (i * F.lit(0.1) + F.lit(0.05)).alias("end_time"))).alias("o"), split_words(F.concat("p", F.lit(" , "), "q", F.lit(" ."))).alias("t"))
+    by = W.partitionBy("k").orderBy("word")
+    w = lex.withColumn("k", F.substring("word", 1, 2)).select("word", "p", F.lead("p").over(by).alias("q"), F.lead("p", 2).over(by).alias("r")).filter("r is not null")
+    sounds = split_words(F.concat_ws(" ", "p", "q", "r"))
+    rows = w.select("word", F.transform(sounds, lambda x, i: F.struct(x.alias("text"), (i * F.lit(0.1)).alias("start_time"), (i * F.lit(0.1) + F.lit(0.05)).alias("end_time"))).alias("o"), split_words(F.concat("p", F.lit(" , "), "q", F.lit(" ; "), "r", F.lit(" ."))).alias("t"))
     return rows.select("word", joined_text(punctuated(F.col("o"), F.col("t"))).alias("text"))
 
 
@@ -345,22 +370,30 @@ def punctuation_alignment(spark, d):
 @query("SELECT u.audio, u.id, coalesce(t.text, '') AS text FROM utterances u LEFT JOIN (SELECT audio, last(text ORDER BY row_id) AS text FROM manifest WHERE audio IS NOT NULL GROUP BY audio) t ON t.audio = u.audio")
 def sidecar_text(spark, d):
     side = table(spark, d, "manifest").filter("audio is not null").groupBy("audio").agg(F.max_by("text", "row_id").alias("text"))
-    return table(spark, d, "utterances").select("audio", "id").join(side, "audio", "left").select("audio", "id", F.coalesce("text", F.lit("")).alias("text"))
+    return with_sidecar(table(spark, d, "utterances").select("audio", "id"), side.withColumnRenamed("audio", "path"))
 
 
 @query("SELECT lang, count(*) AS n, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM documents WHERE kind = 'dialogue' GROUP BY lang")
 def category_filter(spark, d):
-    return table(spark, d, "documents").filter("kind = 'dialogue'").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).cast("bigint").alias("bytes"))
+    """Rows by their best label; a classifier that reads the kind out of the path stands in for a model."""
+    docs = table(spark, d, "documents").withColumn("audio", F.concat("kind", F.lit("/"), "doc_id"))
+    kept = keep_labelled(docs, classify(docs, _KindClassifier), "audio", "dialogue")
+    return kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).cast("bigint").alias("bytes"))
+
+
+class _KindClassifier:
+    def scores(self, audio):
+        return [(audio.partition("/")[0], 0.9), ("other", 0.1)]
 
 
 @query("SELECT row_id, audio FROM manifest WHERE id IN (SELECT id FROM utterances)")
 def with_transcript(spark, d):
-    return table(spark, d, "manifest").join(table(spark, d, "utterances").select("id"), "id", "left_semi").select("row_id", "audio")
+    return with_partner(table(spark, d, "manifest"), table(spark, d, "utterances"), "id").select("row_id", "audio")
 
 
 @query("SELECT audio, id FROM utterances u WHERE NOT EXISTS (SELECT 1 FROM manifest m WHERE m.audio = u.audio)")
 def not_yet_downloaded(spark, d):
-    return table(spark, d, "utterances").join(table(spark, d, "manifest").select("audio"), "audio", "left_anti").select("audio", "id")
+    return without_partner(table(spark, d, "utterances"), table(spark, d, "manifest"), on="audio").select("audio", "id")
 
 
 @query(f"WITH {_O}, l AS (SELECT utt_id, last(end_time ORDER BY pos, start_time, end_time, offset_id) AS x FROM o GROUP BY 1), u AS (SELECT id, min(language) AS language FROM utterances GROUP BY 1) SELECT language, round(sum(x), 3) AS duration FROM u JOIN l ON id = utt_id GROUP BY 1")
@@ -392,10 +425,7 @@ def rows_per_speaker(spark, d):
 
 @query("SELECT language, count(*) AS n, count(*) FILTER (text NOT LIKE 'k%' AND text NOT LIKE 'm%') AS kept, round(sum(CAST(length(text) AS DOUBLE)) / 16000 / 3600, 6) AS hours FROM manifest GROUP BY 1")
 def stats_before_after(spark, d):
-    keep = ~F.col("text").startswith("k") & ~F.col("text").startswith("m")
-    return table(spark, d, "manifest").groupBy("language").agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(keep, 1)).alias("kept"), F.round(F.sum(F.char_length("text").cast("double")) / F.lit(16000.0) / F.lit(3600.0), 6).alias("hours")
-    )
+    return before_after(table(spark, d, "manifest"), without_prefixes(F.col("text"), ("k", "m")), "language", F.char_length("text"))
 
 
 @query(r"SELECT DISTINCT m.row_id, m.id FROM manifest m JOIN utterances u ON m.id = u.id WHERE array_to_string(list_filter(regexp_split_to_array(regexp_replace(lower(m.text), '[.,?!;:]', '', 'g'), '\s+'), lambda x: x <> ''), ' ') = u.ground_truth")
@@ -405,12 +435,20 @@ def label_agreement(spark, d):
     return m.join(table(spark, d, "utterances").select("id", "ground_truth"), "id").filter(same_words(F.col("label"), F.col("ground_truth"))).select("row_id", "id").distinct()
 
 
-@query("""WITH l AS (SELECT word, language, list_distinct(list_filter(flatten(list(pronunciations)), lambda x: x IS NOT NULL)) AS v, min(pronunciations[1]) AS p FROM lexicon WHERE word IS NOT NULL AND language IS NOT NULL GROUP BY ALL)
-SELECT word, language, replace(p, ' ', '') AS said FROM l WHERE p IS NOT NULL AND list_contains(list_transform(v, lambda x: replace(x, ' ', '')), replace(p, ' ', ''))""")
+@query(rf"""WITH {_O}, {_GT}, form AS (SELECT word, list(DISTINCT replace(p, ' ', '')) AS v, replace(min(p), ' ', '') AS said FROM (SELECT word, unnest(pronunciations) AS p FROM lexicon) WHERE word IS NOT NULL AND p IS NOT NULL GROUP BY word),
+h AS (SELECT audio, row_number() OVER ({_WA}) - 1 AS j, coalesce(f.said, t) AS said FROM (SELECT *, lower(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS t FROM oa WHERE text <> ' ' AND regexp_matches(text, '\S')) LEFT JOIN form f ON f.word = t),
+t AS (SELECT audio, j, coalesce(v, [replace(gt.word, ' ', '')]) AS v FROM gt LEFT JOIN form f ON f.word = gt.word),
+n AS (SELECT audio, count(*) AS n FROM h GROUP BY 1)
+SELECT t.audio, bool_and(coalesce(list_contains(t.v, h.said), false)) AND count(*) = any_value(n.n) AS same FROM t LEFT JOIN h USING (audio, j) JOIN n USING (audio) GROUP BY t.audio""")
 def phoneme_match(spark, d):
-    lex = table(spark, d, "lexicon").filter("word is not null and language is not null")
-    v = lex.groupBy("word", "language").agg(F.array_distinct(F.filter(F.flatten(F.collect_list("pronunciations")), lambda x: x.isNotNull())).alias("v"), F.min(F.get("pronunciations", F.lit(0))).alias("p"))
-    return v.filter("p is not null").withColumn("said", glued(F.col("p"))).filter(phonemes_match(F.array("said"), F.array("v"))).select("word", "language", "said")
+    """Whether a recording says its truth: as many words, each among the variants of its place. Recordings are of ordinary length,
+    as they have a truth, and one row each."""
+    lex = merge_lexicons(table(spark, d, "lexicon"))
+    said = lex.select(F.col("word").alias("t"), glued(F.array_min("pronunciations")).alias("p"))
+    o = _heard(spark, d).filter("text <> ' '").withColumn("t", fold(F.col("text"))).filter("t <> ''").join(small(said), "t", "left")
+    h = o.groupBy("audio").agg(F.transform(F.sort_array(F.collect_list(F.struct(*ORDER, F.coalesce("p", "t").alias("s")))), lambda x: x["s"]).alias("said"))
+    v = lookup(_truths(spark, d), lex).groupBy("audio").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "pronunciations"))), lambda x: x["pronunciations"]).alias("v"))
+    return h.join(v, "audio").select("audio", phonemes_match(F.col("said"), F.col("v")).alias("same"))
 
 
 @query("SELECT vec_id, max(s) AS score, first(k ORDER BY s DESC, k) AS label FROM (SELECT vec_id, unnest(embedding) AS s, unnest(range(0, len(embedding))) AS k FROM embeddings) GROUP BY vec_id")
@@ -434,15 +472,15 @@ def greedy_score(spark, d):
     return e.filter(F.col("g") / F.size("f") > -2).select("vec_id", F.round("g", 6).alias("greedy"))
 
 
-@query("SELECT vec_id, k, CAST(trunc(CAST(x * CAST(32767 AS DOUBLE) AS DOUBLE)) AS BIGINT) AS pcm FROM (SELECT vec_id, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS k FROM embeddings) WHERE abs(x) <= 1")
+@query("SELECT vec_id, k, CAST(trunc(CAST(x * CAST(32767 AS DOUBLE) AS DOUBLE)) AS BIGINT) AS pcm FROM (SELECT vec_id, greatest(-1.0, least(1.0, CAST(unnest(embedding) AS DOUBLE))) AS x, unnest(range(0, len(embedding))) AS k FROM embeddings)")
 def pcm_samples(spark, d):
-    e = table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("k", "x")).filter("abs(x) <= 1")
+    e = table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("k", "x"))
     return e.select("vec_id", F.col("k").cast("bigint").alias("k"), F.get(int16_pcm(F.array(F.col("x").cast("double"))), F.lit(0)).cast("bigint").alias("pcm"))
 
 
 @query("SELECT row_id, audio FROM manifest WHERE modified_at > TIMESTAMP '2024-06-01 00:00:00'")
 def modified_after(spark, d):
-    return table(spark, d, "manifest").filter(F.col("modified_at") > F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")).select("row_id", "audio")
+    return modified_since(table(spark, d, "manifest").withColumnRenamed("modified_at", "modified"), "2024-06-01 00:00:00").select("row_id", "audio")
 
 
 @query("SELECT row_id, (row_number() OVER (ORDER BY row_id) - 1) // 10 AS batch FROM manifest")
@@ -471,11 +509,35 @@ def chunk_manifest(spark, d):
 
 @query("SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS k FROM events GROUP BY 1")
 def json_fields(spark, d):
-    p = F.from_json("props", "k bigint")
-    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(p["k"]).alias("k"))
+    rows = parsed_lines(table(spark, d, "events"), "k bigint", "props", ("event_type",))
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("k"))
 
 
 @query(f"WITH {_O} SELECT utt_id, bool_and(text IS NOT NULL AND start_time IS NOT NULL AND end_time IS NOT NULL) AS valid, count(*) AS n FROM utt_offsets WHERE utt_id IS NOT NULL GROUP BY 1")
 def valid_offsets(spark, d):
-    ok = F.col("text").isNotNull() & F.col("start_time").isNotNull() & F.col("end_time").isNotNull()
-    return table(spark, d, "utt_offsets").filter("utt_id is not null").groupBy("utt_id").agg(F.bool_and(ok).alias("valid"), F.count(F.lit(1)).alias("n"))
+    return valid_recordings(table(spark, d, "utt_offsets"))
+
+
+@query(f"""WITH {_seg(0.3)}, c AS (SELECT utt_id, list({{'segment': segment, 'n': n}} ORDER BY segment) AS x FROM b GROUP BY 1)
+SELECT utt_id, y.segment AS segment, y.n AS n FROM (SELECT utt_id, unnest(x) AS y FROM c)""")
+def manifest_flatten(spark, d):
+    """Segments of a recording nested in one manifest row, and flattened again with null entries gone."""
+    b = segment_bounds(_segments(spark, d, 0.3)).select("utt_id", F.struct("utt_id", "segment", "n").alias("x"))
+    nested = b.groupBy("utt_id").agg(F.concat(F.collect_list("x"), F.array(F.lit(None).cast("struct<utt_id:string,segment:bigint,n:bigint>"))).alias("rows"))
+    return flatten_manifest(nested, "rows")
+
+
+@query(rf"""WITH m AS (SELECT regexp_replace(regexp_extract(audio, '([^/]*)$', 1), '(.)\.[^.]*$', '\1') AS stem, audio, text FROM manifest WHERE audio IS NOT NULL),
+x AS (SELECT stem, arg_max(audio, audio) AS audio FROM m GROUP BY stem) SELECT u.audio, x.audio AS aligned FROM utterances u LEFT JOIN x ON x.stem = regexp_replace(regexp_extract(u.audio, '([^/]*)$', 1), '(.)\.[^.]*$', '\1')""")
+def aligned_by_name(spark, d):
+    """Recordings with the alignment of the same base name; a manifest's paths stand in for alignments."""
+    m = table(spark, d, "manifest").filter("audio is not null").select("audio", F.array(F.struct(F.col("audio").alias("text"), F.lit(0.0).alias("start_time"), F.lit(0.0).alias("end_time"))).alias("offsets"))
+    return by_base_name(table(spark, d, "utterances").select("audio"), m).select("audio", F.get("offsets", F.lit(0))["text"].alias("aligned"))
+
+
+@query("""WITH j AS (SELECT id, max(text) AS t FROM manifest WHERE split = 'test' GROUP BY id), x AS (SELECT id, max(text) AS t FROM manifest WHERE split = 'train' GROUP BY id)
+SELECT u.audio, coalesce(j.t, x.t) AS text FROM utterances u LEFT JOIN j USING (id) LEFT JOIN x USING (id)""")
+def preferred_transcript(spark, d):
+    """The first of two sources of transcripts that has one; splits of the manifest stand in for the sources."""
+    m = table(spark, d, "manifest")
+    return preferred_text(table(spark, d, "utterances").select("audio", "id"), "id", m.filter("split = 'test'"), m.filter("split = 'train'")).select("audio", "text")

@@ -30,15 +30,33 @@ def text_files(spark: SparkSession, path: str, extension: str = "txt") -> DataFr
     return t.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/").alias("path"), F.col("value").alias("text"))
 
 
+def with_sidecar(df: DataFrame, texts: DataFrame, path: str = "audio") -> DataFrame:
+    """``df`` with ``text`` of ``texts`` ``(path, text)``, the text beside each file; empty where there is none."""
+    side = texts.select(F.col("path").alias(path), F.col("text").alias("__text"))
+    return df.join(side, path, "left").withColumn("text", F.coalesce("__text", F.lit(""))).drop("__text")
+
+
 def utterances_from_folder(spark: SparkSession, path: str, extension: str = "wav") -> DataFrame:
     """The utterance table of a folder ``{lang-region}/{speaker}_{utt}``: texts from ``.txt`` files beside the audio;
     utterances without one are left out."""
-    audio = audio_files(spark, path, extension).select("audio")
-    texts = text_files(spark, path).withColumnRenamed("path", "__path")
-    joined = audio.join(texts, with_suffix(F.col("audio"), ".txt") == F.col("__path"), "left")
     a = F.col("audio")
-    out = joined.select("audio", stem(a).alias("id"), parent(a).alias("language_code"), language_of(parent(a)).alias("language"), F.coalesce(F.trim("text"), F.lit("")).alias("ground_truth"))
-    return out.filter("ground_truth <> ''")
+    texts = text_files(spark, path).select(with_suffix(F.col("path"), f".{extension}").alias("path"), F.trim("text").alias("text"))
+    joined = with_sidecar(audio_files(spark, path, extension).select("audio"), texts)
+    return joined.filter("text <> ''").select("audio", stem(a).alias("id"), parent(a).alias("language_code"), language_of(parent(a)).alias("language"), F.col("text").alias("ground_truth"))
+
+
+def audio_with_text(spark: SparkSession, path: str, extension: str = "mp3") -> DataFrame:
+    """``(audio, text)`` of the files that have a ``.txt`` file of the same name beside them."""
+    texts = text_files(spark, path).select(with_suffix(F.col("path"), f".{extension}").alias("audio"), "text")
+    return audio_files(spark, path, extension).select("audio").join(texts, "audio")
+
+
+def language_folders(files: DataFrame, languages: tuple[str, ...], without: str = "practiceError", path: str = "audio") -> DataFrame:
+    """Files in folders whose name starts with one of the languages; paths that hold ``without`` are left out."""
+    wanted = F.lit(False)
+    for x in languages:
+        wanted = wanted | parent(F.col(path)).startswith(x)
+    return files.filter(wanted & ~F.col(path).contains(without))
 
 
 def from_manifest(m: DataFrame) -> DataFrame:
@@ -58,11 +76,14 @@ def from_manifest(m: DataFrame) -> DataFrame:
     )
 
 
-def utterances_from_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The utterance table of a JSON-array manifest; bad JSON or no usable row is an error."""
+def utterances_from_manifest(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
+    """The utterance table of a JSON-array manifest; bad JSON or no usable row is an error. With ``files``, a listing with ``audio``
+    and ``length``, rows whose file is missing or empty are left out."""
     raw = spark.read.schema(schemas.INPUT_MANIFEST).option("multiLine", "true").option("mode", "FAILFAST").json(path)
     try:
         out = from_manifest(raw).select("audio", "id", "language_code", "language", "ground_truth")
+        if files is not None:
+            out = out.join(files.filter("length > 0").select("audio"), "audio", "left_semi")
         empty = out.limit(1).count() == 0
     except Exception as e:  # the reader fails when it runs
         raise ValueError(f"can't read {path} as JSON") from e
@@ -71,15 +92,43 @@ def utterances_from_manifest(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
+def parsed_lines(lines: DataFrame, schema: str, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of JSON texts in ``column``, and the columns of ``keep``; blank, empty and broken ones are left out."""
+    parsed = lines.filter(F.trim(column) != "").select(*keep, F.from_json(column, schema, {"mode": "PERMISSIVE"}).alias("__r"))
+    some = F.lit(False)
+    for f in parsed.schema["__r"].dataType.fields:
+        some = some | F.col(f"__r.{f.name}").isNotNull()
+    return parsed.filter(some).select(*keep, "__r.*")
+
+
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a JSON-lines file; blank, empty and broken lines are left out."""
-    raw = spark.read.text(path).filter(F.trim("value") != "")
-    parsed = raw.select(F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
-    some = [F.col(c).isNotNull() for c in parsed.columns]
-    any_set = some[0]
-    for c in some[1:]:
-        any_set = any_set | c
-    return parsed.filter(any_set)
+    """Rows of a JSON-lines file, as :func:`parsed_lines`; a missing file gives none."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return parsed_lines(spark.createDataFrame([], "value string"), schema)
+    return parsed_lines(spark.read.text(path), schema)
+
+
+def aligner_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of an aligner's output manifest that name a CTM file: ``(audio, text, ctm)``."""
+    m = json_lines(spark, path, schemas.ALIGNER_MANIFEST)
+    return m.filter("audio_filepath is not null and words_level_ctm_filepath is not null").select(F.col("audio_filepath").alias("audio"), "text", F.col("words_level_ctm_filepath").alias("ctm"))
+
+
+def aligned_offsets(spark: SparkSession, manifest: str, ctm_folder: str) -> DataFrame:
+    """``(audio, offsets)`` of an aligner's output: the CTM files below ``ctm_folder`` that its manifest names, in the order of their
+    lines' times."""
+    words = ctm(spark, ctm_folder, True)
+    item = F.struct("start_time", "end_time", "text")
+    grouped = words.groupBy("path").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: F.struct(x["text"].alias("text"), x["start_time"].alias("start_time"), x["end_time"].alias("end_time"))).alias("offsets"))
+    listed = aligner_manifest(spark, manifest)
+    return listed.join(grouped, F.regexp_replace(listed.ctm, "^file:/+", "/") == grouped.path).select("audio", "offsets")
+
+
+def json_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """``(word, pronunciations)`` of a JSON object of words to lists of pronunciations."""
+    return spark.read.option("wholetext", "true").text(path).select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("word", "pronunciations"))
 
 
 def valid(offsets: Column) -> Column:
@@ -106,13 +155,15 @@ def tsv_text(rows: DataFrame) -> DataFrame:
     return rows.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "label"))), lambda x: x["label"]), " ").alias("text"))
 
 
-def ctm(spark: SparkSession, path: str) -> DataFrame:
-    """Offsets of a CTM file: lines of at least five fields; the end is start plus duration."""
-    f = F.split(F.trim("value"), r"\s+")
-    rows = spark.read.text(path).withColumn("f", f).filter(F.size("f") >= 5)
+def ctm(spark: SparkSession, path: str, below: bool = False) -> DataFrame:
+    """Offsets of a CTM file: lines of at least five fields; the end is start plus duration. With ``below`` of all ``.ctm`` files in a
+    folder, each with its ``path``."""
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ctm").text(path) if below else spark.read.text(path)
+    rows = lines.withColumn("path", F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/")).withColumn("f", F.split(F.trim("value"), r"\s+")).filter(F.size("f") >= 5)
     get = lambda i: F.get("f", F.lit(i))
-    rows = rows.select(get(0).alias("utt"), get(1).alias("channel"), get(2).cast("double").alias("start_time"), get(3).cast("double").alias("d"), get(4).alias("text"))
-    return rows.select("utt", "channel", "start_time", (F.col("start_time") + F.col("d")).alias("end_time"), "text")
+    rows = rows.select("path", get(0).alias("utt"), get(1).alias("channel"), get(2).cast("double").alias("start_time"), get(3).cast("double").alias("d"), get(4).alias("text"))
+    rows = rows.select("path", "utt", "channel", "start_time", (F.col("start_time") + F.col("d")).alias("end_time"), "text")
+    return rows if below else rows.drop("path")
 
 
 def lexicon_rows(table: DataFrame, language: str) -> DataFrame:

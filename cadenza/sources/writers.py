@@ -8,6 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.offsets import joined_text
+
 
 def write_table(df: DataFrame, path: str, by: list[str] | None = None, rows_per_file: int = 1_000_000, kind: str = "parquet") -> None:
     w = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
@@ -47,6 +49,33 @@ def write_files(df: DataFrame, path: str, content: str) -> None:
     df.select(path, content).foreachPartition(put)
 
 
+def offsets_content(offsets: str) -> F.Column:
+    """Nested offsets as an indented JSON array, letters as they are."""
+    return F.to_json(F.transform(offsets, lambda o: F.struct(o["text"].alias("text"), o["start_time"].alias("start_time"), o["end_time"].alias("end_time"))), {"pretty": "true", "ignoreNullFields": "false"})
+
+
+def explorer_manifest(segments: DataFrame) -> DataFrame:
+    """``(audio_filepath, duration, text)`` of segments ``(wav_path, offsets)``: the last end as duration, the texts joined."""
+    return segments.select(F.col("wav_path").alias("audio_filepath"), F.element_at("offsets", -1)["end_time"].alias("duration"), joined_text(F.col("offsets")).alias("text"))
+
+
+def array_manifest(df: DataFrame, path: str) -> bool:
+    """Rows that aren't all null as one JSON array in a file of the driver, row by row; nothing is written if there are none."""
+    filled = F.lit(False)
+    for c in df.columns:
+        filled = filled | F.col(c).isNotNull()
+    rows = df.filter(filled).select(F.to_json(F.struct(*df.columns)).alias("j")).toLocalIterator()
+    first = next(rows, None)
+    if first is None:
+        return False
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("[\n" + first["j"])
+        for r in rows:
+            f.write(",\n" + r["j"])
+        f.write("\n]\n")
+    return True
+
+
 def tsv_content(offsets: str) -> F.Column:
     """Lines ``start<TAB>end<TAB>text`` of nested offsets."""
     line = lambda o: F.concat(o["start_time"].cast("string"), F.lit("\t"), o["end_time"].cast("string"), F.lit("\t"), F.coalesce(o["text"], F.lit("")), F.lit("\n"))

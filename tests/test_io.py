@@ -7,7 +7,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from cadenza.backends import DictionaryG2P, classify, stride_plan, transcribe, wav_bytes, wav_duration, wav_samples
+from cadenza.backends import DictionaryG2P, classify, get_g2p, register_g2p, spoken, transcribe, velar_nasal, wav_bytes, wav_duration, wav_samples
 from cadenza.config import RunConfig, SegmenterConfig, TranscriberConfig
 from cadenza.functions.text import aligner_form, letters_without_marks, number_words, numbers_spelled, phoneme_form, tokens, transcript_form
 from cadenza.operators import audio
@@ -107,14 +107,113 @@ def test_sinks(spark, tmp_path):
     assert [json.loads(r["value"])["counts"] for r in spark.read.text(str(tmp_path / "c")).collect()] == [{"a": 1, "ɛ": 2}]
 
 
-def test_audio_and_plans():
+def test_audio_and_plans(spark):
     x = np.sin(np.arange(1600) / 10)
     samples, rate = wav_samples(wav_bytes(x))
     assert rate == 16_000 and np.abs(samples - x).max() < 1e-3 and math.isclose(wav_duration(wav_bytes(x)), 0.1)
-    plan = stride_plan(100, 30)
-    assert plan[0] == (0, 30, 0, 5) and plan[-1][1] == 100 and plan[-1][3] == 0
+    from cadenza.operators.audio import fixed_chunks, long_enough, strided_chunks
+
+    for chunk, left, right in ((30, None, None), (30, 5, 0), (10, 0, 0), (12, 4, 4)):
+        x, y = (round(chunk / 6) if left is None else left), (round(chunk / 6) if right is None else right)
+        sizes = [0, 1, 5, 29, 30, 31, 60, 100]
+        got = {r["n"]: [tuple(c) for c in r["c"]] for r in spark.createDataFrame([(n,) for n in sizes], "n int").select("n", strided_chunks(F.col("n"), chunk, left, right).alias("c")).collect()}
+        for n in sizes:
+            want = []
+            for a in range(0, n, chunk - x - y):
+                end, own = min(a + chunk, n), 0 if a == 0 else x
+                last = a + chunk >= n if y == 0 else a + chunk > n
+                if end - a > own:
+                    want.append((a, end, own, 0 if last else y))
+                if last:
+                    break
+            assert got[n] == want
     with pytest.raises(ValueError):
-        stride_plan(100, 5, 3, 3)
+        strided_chunks(F.col("n"), 5, 3, 3)
+    df = spark.createDataFrame([("a", 1300), ("b", 1400), ("c", 0), ("d", None)], "u string, n int")
+    assert sorted(tuple(r) for r in fixed_chunks(df, "n", 500).select("u", "first_sample", "end_sample").collect()) == [("a", 0, 500), ("a", 500, 1000), ("b", 0, 500), ("b", 500, 1000), ("b", 1000, 1400)]
+    assert [r[0] for r in spark.createDataFrame([([0.0] * 5,), ([0.0] * 6,)], "x array<double>").select(long_enough(F.col("x"), 5)).collect()] == [False, True]
+
+
+def test_converters(spark):
+    assert velar_nasal("ng'ombe", ["ᵑg", "o", "m", "b", "e"]) == ["ŋ", "o", "m", "b", "e"]
+    assert velar_nasal("ngong'o", ["ᵑg", "o", "ᵑg", "o"]) == ["ᵑg", "o", "ŋ", "o"]
+    assert velar_nasal("ng'ong'o", ["ᵑg", "o"]) == ["ᵑg", "o"]
+    assert get_g2p("sw-TZ", {"ng'ombe": "ᵑg o m b e"}).phonemes("Ng'ombe, hi.") == ["ŋ o m b e", ",", "h i", "."]
+    assert get_g2p("en-US", {"a": "ə"}).phonemes("a b") == ["ə", "b"]
+    with pytest.raises(NotImplementedError):
+        get_g2p("xx", {})
+    register_g2p("xx", lambda words: DictionaryG2P(words | {"q": "k"}))
+    assert get_g2p("XX-yy", {}).phonemes("q") == ["k"]
+    words = spark.createDataFrame([("w",), ("zz",), (None,)], "word string")
+    lex = spark.createDataFrame([("w", ["x"])], "word string, pronunciations array<string>")
+    got = {r["word"]: r["pronunciations"] for r in lookup(words, lex, fallback=spoken(lambda: get_g2p("en", {"zz": "z z"}))).collect()}
+    assert got["w"] == ["x"] and got["zz"] == ["z z"]
+
+
+def test_more_sources(spark, tmp_path):
+    d = tmp_path / "en-gb"
+    d.mkdir()
+    for n in ("a", "b"):
+        (d / f"{n}.wav").write_bytes(wav_bytes(np.zeros(1600)))
+        (d / f"{n}.mp3").write_bytes(b"x")
+    (d / "e.wav").write_bytes(b"")
+    (d / "a.txt").write_text("hi")
+    (tmp_path / "practiceError").mkdir()
+    (tmp_path / "practiceError" / "c.wav").write_bytes(b"x")
+    assert [r["text"] for r in readers.audio_with_text(spark, str(tmp_path)).collect()] == ["hi"]
+    files = readers.audio_files(spark, str(tmp_path))
+    assert {r["audio"].rsplit("/", 1)[1] for r in readers.language_folders(files, ("en", "id")).collect()} == {"a.wav", "b.wav"}
+    m = tmp_path / "m.json"
+    m.write_text(json.dumps([{"audio": str(d / "a.wav"), "text": "x"}, {"audio": str(d / "e.wav"), "text": "y"}, {"audio": str(d / "none.wav"), "text": "z"}]))
+    assert [r["ground_truth"] for r in readers.utterances_from_manifest(spark, str(m), files).collect()] == ["x"]
+    assert readers.json_lines(spark, str(tmp_path / "missing.jsonl"), "text string").count() == 0
+    (tmp_path / "ctm").mkdir()
+    (tmp_path / "ctm" / "a.ctm").write_text("a 1 1.0 0.5 two\na 1 0.0 0.5 one\n")
+    (tmp_path / "out.jsonl").write_text(json.dumps({"audio_filepath": "x/a.wav", "text": "one two", "words_level_ctm_filepath": str(tmp_path / "ctm/a.ctm")}) + "\n" + json.dumps({"audio_filepath": "x/b.wav"}) + "\n")
+    aligned = readers.aligned_offsets(spark, str(tmp_path / "out.jsonl"), str(tmp_path / "ctm"))
+    assert [(r["audio"], [tuple(o) for o in r["offsets"]]) for r in aligned.collect()] == [("x/a.wav", [("one", 0.0, 0.5), ("two", 1.0, 1.5)])]
+    from cadenza.operators.dataset import by_base_name, preferred_text, without_partner
+
+    found = {r["audio"]: len(r["offsets"]) for r in by_base_name(spark.createDataFrame([("q/a.wav",), ("q/z.wav",)], "audio string"), aligned).collect()}
+    assert found == {"q/a.wav": 2, "q/z.wav": 0}
+    one = lambda *rows: spark.createDataFrame(list(rows), "k string, text string")
+    got = {r["k"]: r["text"] for r in preferred_text(one(("a", "-"), ("b", "-"), ("c", "-")).select("k"), "k", one(("a", "json")), one(("a", "txt"), ("b", "txt"))).collect()}
+    assert got == {"a": "json", "b": "txt", "c": None}
+    assert [r["k"] for r in without_partner(one(("a", ""), ("b", "")), one(("a", ""), ("b", "")), one(("a", "")), on="k").collect()] == ["b"]
+    (tmp_path / "lex.json").write_text(json.dumps({"w": ["x y", "x"]}))
+    assert [tuple(r) for r in readers.json_lexicon(spark, str(tmp_path / "lex.json")).collect()] == [("w", ["x y", "x"])]
+
+
+def test_more_sinks(spark, tmp_path):
+    o = spark.createDataFrame([("a.wav", [("hé", 0.0, 0.5), (None, 0.5, 1.0)])], "wav_path string, offsets array<struct<text:string,start_time:double,end_time:double>>")
+    text = o.select(writers.offsets_content("offsets")).first()[0]
+    assert "\n" in text and "hé" in text and json.loads(text)[1] == {"text": None, "start_time": 0.5, "end_time": 1.0}
+    assert tuple(writers.explorer_manifest(o).first()) == ("a.wav", 1.0, "hé")
+    rows = spark.createDataFrame([("w", "t"), (None, None), ("é", None)], "a string, b string")
+    assert writers.array_manifest(rows, str(tmp_path / "m.json"))
+    assert json.loads((tmp_path / "m.json").read_text(encoding="utf-8")) == [{"a": "w", "b": "t"}, {"a": "é"}]
+    assert not writers.array_manifest(rows.limit(0), str(tmp_path / "n.json")) and not (tmp_path / "n.json").exists()
+
+
+def test_run_command(spark, tmp_path):
+    from argparse import Namespace
+
+    from cadenza.__main__ import run
+
+    d = tmp_path / "in" / "en-us"
+    d.mkdir(parents=True)
+    (d / "ann_1.wav").write_bytes(wav_bytes(np.zeros(16_000 * 3), 16_000))
+    (d / "ann_1.txt").write_text("one two three")
+    (d / "ann_1.json").write_text(json.dumps([{"text": "one", "start_time": 0.5, "end_time": 0.9}, {"text": "two", "start_time": 1.0, "end_time": 1.4}, {"text": "three", "start_time": 2.6, "end_time": 2.99}]))
+    config = tmp_path / "config.json"
+    config.write_text(json.dumps({"transcriber": {"type": "wav2vec2", "model": "m", "return_timestamps": "word", "chunk_length_s": 30}, "segmenter": {"type": "silence", "silence_duration": 0.5, "minimum_chunk_duration": 0.3}}))
+    out = tmp_path / "out"
+    a = Namespace(input=str(tmp_path / "in"), output=str(out), config=str(config), audio=None, offsets=str(tmp_path / "in"), lexicon=None, transcriber=None, classifier=None, noise=None, g2p=None)
+    assert run(spark, a) == 2
+    assert (out / "en-us/ann_1-0.tsv").read_text() == "0.0\t0.4\tone\n0.5\t0.9\ttwo\n"
+    assert wav_duration((out / "en-us/ann_1-0.wav").read_bytes()) == pytest.approx(0.95)
+    assert wav_duration((out / "en-us/ann_1-1.wav").read_bytes()) == pytest.approx(0.4)  # no further than the recording
+    assert {r["text"] for r in spark.read.json(str(out / "manifest")).collect()} == {"one two three"}
 
 
 def test_lexicons(spark):
