@@ -123,6 +123,12 @@ def wav_samples(content: bytes) -> tuple[np.ndarray, int]:
         return (x - 128) / 128 if width == 1 else x / float(1 << (8 * width - 1)), w.getframerate()
 
 
+def resampled(samples: np.ndarray, rate: int, to: int) -> np.ndarray:
+    """Samples at another rate, by linear interpolation between neighbours."""
+    n = round(len(samples) * to / rate)
+    return np.interp(np.arange(n) * rate / to, np.arange(len(samples)), samples).astype(np.float32) if len(samples) else samples
+
+
 def wav_duration(content: bytes) -> float:
     """Seconds, from the header."""
     with wave.open(io.BytesIO(content)) as w:

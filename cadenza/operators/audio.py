@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -9,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..backends import wav_bytes, wav_duration, wav_samples
+from ..backends import resampled, wav_bytes, wav_duration, wav_samples
 
 
 class NoiseScorer(Protocol):
@@ -38,9 +40,9 @@ def duration(content: Column) -> Column:
     return F.pandas_udf(_durations, "double")(content)
 
 
-def cut_chunks(chunks: DataFrame, contents: DataFrame, start: str = "start_time", end: str = "end_time", extra_ms: int = 50, batch: int = 16) -> DataFrame:
+def cut_chunks(chunks: DataFrame, contents: DataFrame, start: str = "start_time", end: str = "end_time", extra_ms: int = 50, batch: int = 16, to_rate: int | None = None) -> DataFrame:
     """``chunks`` with ``wav``: the stretch of the recording ``audio`` from ``start`` to ``extra_ms`` beyond ``end``, no
-    further than its length, as a 16-bit mono file. All chunks of a recording are cut from one reading of it."""
+    further than its length, as a 16-bit mono file, at ``to_rate`` if it is given. All chunks of a recording are cut from one reading of it."""
     listed = chunks.groupBy("audio").agg(F.collect_list(F.struct(*chunks.columns)).alias("c")).join(contents, "audio")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema.fields) + ", wav binary"
     names = chunks.columns
@@ -49,6 +51,8 @@ def cut_chunks(chunks: DataFrame, contents: DataFrame, start: str = "start_time"
         for pdf in batches:
             for items, content in zip(pdf["c"], pdf["content"], strict=True):
                 x, rate = wav_samples(bytes(content))
+                if to_rate and rate != to_rate:
+                    x, rate = resampled(x, rate, to_rate), to_rate
                 rows = []
                 for r in items:
                     a, b = round(r[start] * rate), min(round((r[end] + extra_ms / 1000) * rate), len(x))
@@ -87,6 +91,28 @@ def strided_chunks(samples: Column, chunk: int, left: int | None = None, right:
     return F.transform(kept, lambda a: F.struct(a.alias("first"), F.least(a + chunk, n).alias("end"), own(a).cast("int").alias("left"), F.when(last(a), 0).otherwise(right).cast("int").alias("right")))
 
 
+def padded(samples: Column, length: int) -> Column:
+    """Samples cut or filled with zeros to ``length``, for a batch of equal inputs; null stays null."""
+    cut = F.slice(samples, 1, length)
+    return F.concat(cut, F.array_repeat(F.lit(0.0), F.greatest(F.lit(0), length - F.size(cut))))
+
+
+def convert_audio(df: DataFrame, source: str, target: str, rate: int = 16_000, channels: int = 1) -> DataFrame:
+    """``df`` with ``converted``: whether ffmpeg made the file ``target`` out of ``source``, at a rate and number of channels. Both name
+    columns with paths the executors have; without ffmpeg it's an error."""
+    if shutil.which("ffmpeg") is None:
+        raise RuntimeError("ffmpeg isn't there")
+
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b, strict=True):
+            made = subprocess.run(["ffmpeg", "-y", "-i", x, "-acodec", "pcm_s16le", "-ac", str(channels), "-ar", str(rate), y], capture_output=True)
+            out.append(made.returncode == 0)
+        return pd.Series(out)
+
+    return df.withColumn("converted", F.pandas_udf(run, "boolean")(source, target))
+
+
 def long_enough(samples: Column, least: int = 1600) -> Column:
     """Whether an array has more than ``least`` samples."""
     return F.size(samples) > least

@@ -35,6 +35,13 @@ def flatten_manifest(df: DataFrame, nested: str) -> DataFrame:
     return df.select(F.explode(items).alias("x")).filter("x is not null").select("x.*")
 
 
+def count_items(df: DataFrame, nested: str) -> DataFrame:
+    """``df`` with ``items``: how many entries of its array, or array of arrays, of structs aren't null."""
+    kind = df.schema[nested].dataType.simpleString()
+    items = F.flatten(nested) if kind.startswith("array<array<") else F.col(nested)
+    return df.withColumn("items", F.coalesce(F.size(F.filter(items, lambda x: x.isNotNull())), F.lit(0)))
+
+
 def write_files(df: DataFrame, path: str, content: str) -> None:
     """One file per row, from the executors: ``path`` and ``content`` name the columns. Folders are made as needed; a
     retried task writes the same again."""

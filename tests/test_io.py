@@ -192,6 +192,8 @@ def test_more_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("w", "t"), (None, None), ("é", None)], "a string, b string")
     assert writers.array_manifest(rows, str(tmp_path / "m.json"))
     assert json.loads((tmp_path / "m.json").read_text(encoding="utf-8")) == [{"a": "w", "b": "t"}, {"a": "é"}]
+    nested = spark.createDataFrame([([[("a",), None], [("b",)]],), ([],)], "x array<array<struct<text:string>>>")
+    assert [r["items"] for r in writers.count_items(nested, "x").collect()] == [2, 0]
     assert not writers.array_manifest(rows.limit(0), str(tmp_path / "n.json")) and not (tmp_path / "n.json").exists()
 
 
@@ -346,3 +348,35 @@ def test_shared_folder_must_be_named_on_a_cluster(spark):
         with pytest.raises(RuntimeError):
             shared_dir(SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master=master), conf=conf))
     assert shared_dir(spark)
+
+
+def test_folders_and_data_sets(spark, tmp_path):
+    from cadenza.sources.storage import copy_folder, listing, read_dataset, subfolders, write_dataset
+
+    (tmp_path / "a/b").mkdir(parents=True)
+    (tmp_path / "a/x.txt").write_text("1")
+    (tmp_path / "a/b/y.json").write_text("22")
+    (tmp_path / "a/.hidden").write_text("3")
+    assert {(r["path"].rsplit("/", 1)[1], r["length"]) for r in listing(spark, str(tmp_path / "a"), (".txt", ".json")).collect()} == {("x.txt", 1), ("y.json", 2)}
+    assert subfolders(spark, str(tmp_path / "a")) == ["b"]
+    assert copy_folder(spark, str(tmp_path / "a"), str(tmp_path / "c")) == 2 and (tmp_path / "c/b/y.json").read_text() == "22" and not (tmp_path / "c/.hidden").exists()
+    df = spark.createDataFrame([(i,) for i in range(10)], "i int")
+    write_dataset(df.filter("i < 7"), str(tmp_path), "d", "train", rows_per_file=3)
+    write_dataset(df.filter("i >= 7"), str(tmp_path), "d", "test")
+    assert read_dataset(spark, str(tmp_path), "d", "train").count() == 7
+    assert {r["split"]: r["n"] for r in read_dataset(spark, str(tmp_path), "d").groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()} == {"train": 7, "test": 3}
+
+
+def test_samples(spark):
+    from cadenza.backends import resampled
+    from cadenza.operators.audio import convert_audio, padded
+
+    assert [r[0] for r in spark.createDataFrame([([1.0, 2.0, 3.0],), ([1.0],), ([],), (None,)], "x array<double>").select(padded(F.col("x"), 2)).collect()] == [[1.0, 2.0], [1.0, 0.0], [0.0, 0.0], None]
+    wave = np.sin(np.arange(8000) / 40).astype(np.float32)
+    half = resampled(wave, 16_000, 8_000)
+    assert len(half) == 4000 and np.abs(half - wave[::2]).max() < 1e-3 and len(resampled(wave[:0], 16_000, 8_000)) == 0
+    import shutil
+
+    if shutil.which("ffmpeg") is None:
+        with pytest.raises(RuntimeError):
+            convert_audio(spark.createDataFrame([("a", "b")], "a string, b string"), "a", "b")
