@@ -154,16 +154,21 @@ oa AS (SELECT u.audio, o.* FROM o JOIN u ON u.id = o.utt_id)"""
 _WA = "PARTITION BY audio ORDER BY pos, start_time, end_time, offset_id"
 
 
-def _truths(spark, d):
-    """``(audio, j, m, word)``: the words of the truths of all recordings that have one."""
-    u = table(spark, d, "utterances").filter("ground_truth <> ''").select("audio", split_words(fold(F.col("ground_truth"))).alias("ws"))
-    return u.select("audio", F.size("ws").alias("m"), F.posexplode("ws").alias("j", "word"))
+def _recordings(spark, d):
+    """``(rec, audio, utt_id, ground_truth)`` of the recordings that have a truth, numbered: an id may have several paths, and a
+    number is shorter to shuffle."""
+    u = table(spark, d, "utterances").filter("ground_truth <> ''").select("audio", F.col("id").alias("utt_id"), "ground_truth")
+    return materialize(u.withColumn("rec", F.monotonically_increasing_id()))
 
 
-def _heard(spark, d):
-    """Offsets of the recordings that have a truth, by audio: an id may have several."""
-    u = table(spark, d, "utterances").filter("ground_truth <> ''").select("audio", F.col("id").alias("utt_id"))
-    return _offsets(spark, d).join(u, "utt_id").drop("utt_id")
+def _truths(u):
+    """``(rec, j, m, word)``: the words of the truths."""
+    return u.select("rec", split_words(fold(F.col("ground_truth"))).alias("ws")).select("rec", F.size("ws").alias("m"), F.posexplode("ws").alias("j", "word"))
+
+
+def _heard(spark, d, u):
+    """Offsets of the recordings ``u``, those of one id for each of its paths."""
+    return clean_offsets(table(spark, d, "utt_offsets").join(u.select("rec", "utt_id"), "utt_id"), "rec")
 
 
 @query(rf"""WITH {_O}, {_GT},
@@ -173,8 +178,10 @@ r AS (SELECT audio, i, i - row_number() OVER (PARTITION BY audio ORDER BY i) AS
 SELECT audio, min(i) AS first_word, count(*) AS n FROM r GROUP BY audio, k""")
 def truth_overlap(spark, d):
     """Long form of the overlap with the ground truth: words of the first ones that the truth has at their place or later."""
-    i = running_total(blocked(_heard(spark, d)), F.lit(1), "i", "audio").select("audio", (F.col("i") - 1).alias("i"), fold(F.col("text")).alias("heard"), "start_time", "end_time")
-    return phoneme_overlap_runs(i, _truths(spark, d).withColumnRenamed("word", "heard"), "audio").select("audio", "first_word", "n")
+    u = _recordings(spark, d)
+    i = running_total(blocked(_heard(spark, d, u)), F.lit(1), "i", "rec").select("rec", (F.col("i") - 1).alias("i"), fold(F.col("text")).alias("heard"), "start_time", "end_time")
+    runs = phoneme_overlap_runs(i, _truths(u).withColumnRenamed("word", "heard"), "rec")
+    return runs.join(u, "rec").select("audio", "first_word", "n")
 
 
 @query(rf"""WITH {_O}, {_GT},
@@ -196,20 +203,21 @@ def phoneme_overlap(spark, d):
     out of the lexicon; then words are matched with the truth's variants. As a word's sounds lie between single spaces, what
     merging them would give is the pronunciation; ``merged_sounds`` merges."""
     lex = table(spark, d, "lexicon")
-    variants = lookup(_truths(spark, d), normalised_lexicon(lex)).select("audio", "m", "j", F.explode("pronunciations").alias("heard"))
+    u = _recordings(spark, d)
+    variants = lookup(_truths(u), normalised_lexicon(lex)).select("rec", "m", "j", F.explode("pronunciations").alias("heard"))
     said = long_lexicon(lex).groupBy("word").agg(F.min("pronunciation").alias("p")).select("word", F.array("p").alias("pronunciations"))
-    o = lookup(_heard(spark, d).withColumn("word", fold(F.col("text"))), said, fallback=lambda w: F.coalesce(w, F.lit("")))
+    o = lookup(_heard(spark, d, u).withColumn("word", fold(F.col("text"))), said, fallback=lambda w: F.coalesce(w, F.lit("")))
     sounds = F.array_join(split_words(F.get("pronunciations", F.lit(0))), " ")
-    o = o.select("audio", *ORDER, sounds.alias("sounds")).filter("sounds <> ''")
-    words = running_total(blocked(o), F.lit(1), "i", "audio").select("audio", (F.col("i") - 1).alias("i"), "start_time", "end_time", phoneme_form(F.col("sounds")).alias("heard"))
-    return phoneme_overlap_runs(words, variants, "audio")
+    o = o.select("rec", *ORDER, phoneme_form(sounds).alias("heard"), sounds.alias("sounds")).filter("sounds <> ''").drop("sounds")
+    words = running_total(blocked(o), F.lit(1), "i", "rec").select("rec", (F.col("i") - 1).alias("i"), "start_time", "end_time", "heard")
+    return phoneme_overlap_runs(words, variants, "rec").join(u, "rec").select("audio", "first_word", "n", "start_time", "end_time")
 
 
 @query()
 def word_overlap(spark, d):
     """Sequence-matcher segments of recordings with a ground truth, each matched whole."""
-    u = table(spark, d, "utterances").filter("ground_truth <> ''").select("audio", split_words(F.col("ground_truth")).alias("truth"))
-    found = to_nested(_heard(spark, d), "audio").join(u, "audio").select("audio", F.posexplode(word_overlap_chunks(F.col("offsets"), F.col("truth"))).alias("segment", "s"))
+    u = _recordings(spark, d)
+    found = to_nested(_heard(spark, d, u), "rec").join(u.withColumn("truth", split_words(F.col("ground_truth"))), "rec").select("audio", F.posexplode(word_overlap_chunks(F.col("offsets"), F.col("truth"))).alias("segment", "s"))
     return found.select("audio", "segment", F.size("s").alias("n"), F.get("s", F.lit(0))["start_time"].alias("start_time"), joined_text(F.col("s")).alias("text"))
 
 
@@ -339,8 +347,9 @@ def _per_counts(spark, d):
     """The phonemes of each recognised word against the variants of the truth's word at its place, both in the lexicon."""
     lex = table(spark, d, "lexicon")
     said = long_lexicon(lex).groupBy("word").agg(split_words(F.min("pronunciation")).alias("said")).withColumnRenamed("word", "heard")
-    i = running_total(blocked(_heard(spark, d).filter("text <> ' '")), F.lit(1), "i", "audio").select("audio", (F.col("i") - 1).alias("j"), fold(F.col("text")).alias("heard"))
-    rows = i.join(_truths(spark, d).select("audio", "j", "word"), ["audio", "j"]).join(small(said), "heard").join(small(equalised_lexicon(lex)), "word")
+    u = _recordings(spark, d)
+    i = running_total(blocked(_heard(spark, d, u).filter("text <> ' '")), F.lit(1), "i", "rec").select("rec", (F.col("i") - 1).alias("j"), fold(F.col("text")).alias("heard"))
+    rows = i.join(_truths(u).select("rec", "j", "word"), ["rec", "j"]).join(small(said), "heard").join(small(equalised_lexicon(lex)), "word")
     return error_counts(rows.withColumn("stack", F.array("variants")), "stack", "said")
 
 
@@ -445,10 +454,11 @@ def phoneme_match(spark, d):
     as they have a truth, and one row each."""
     lex = merge_lexicons(table(spark, d, "lexicon"))
     said = lex.select(F.col("word").alias("t"), glued(F.array_min("pronunciations")).alias("p"))
-    o = _heard(spark, d).filter("text <> ' '").withColumn("t", fold(F.col("text"))).filter("t <> ''").join(small(said), "t", "left")
-    h = o.groupBy("audio").agg(F.transform(F.sort_array(F.collect_list(F.struct(*ORDER, F.coalesce("p", "t").alias("s")))), lambda x: x["s"]).alias("said"))
-    v = lookup(_truths(spark, d), lex).groupBy("audio").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "pronunciations"))), lambda x: x["pronunciations"]).alias("v"))
-    return h.join(v, "audio").select("audio", phonemes_match(F.col("said"), F.col("v")).alias("same"))
+    u = _recordings(spark, d)
+    o = _heard(spark, d, u).filter("text <> ' '").withColumn("t", fold(F.col("text"))).filter("t <> ''").join(small(said), "t", "left")
+    h = o.groupBy("rec").agg(F.transform(F.sort_array(F.collect_list(F.struct(*ORDER, F.coalesce("p", "t").alias("s")))), lambda x: x["s"]).alias("said"))
+    v = lookup(_truths(u), lex).groupBy("rec").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "pronunciations"))), lambda x: x["pronunciations"]).alias("v"))
+    return h.join(v, "rec").join(u, "rec").select("audio", phonemes_match(F.col("said"), F.col("v")).alias("same"))
 
 
 @query("SELECT vec_id, max(s) AS score, first(k ORDER BY s DESC, k) AS label FROM (SELECT vec_id, unnest(embedding) AS s, unnest(range(0, len(embedding))) AS k FROM embeddings) GROUP BY vec_id")
