@@ -209,7 +209,8 @@ def phoneme_overlap(spark, d):
     o = lookup(_heard(spark, d, u).withColumn("word", fold(F.col("text"))), said, fallback=lambda w: F.coalesce(w, F.lit("")))
     sounds = F.array_join(split_words(F.get("pronunciations", F.lit(0))), " ")
     o = o.select("rec", *ORDER, phoneme_form(sounds).alias("heard"), sounds.alias("sounds")).filter("sounds <> ''").drop("sounds")
-    words = running_total(blocked(o), F.lit(1), "i", "rec").select("rec", (F.col("i") - 1).alias("i"), "start_time", "end_time", "heard")
+    # written, as the total is taken of blocks and of rows
+    words = running_total(blocked(materialize(o)), F.lit(1), "i", "rec").select("rec", (F.col("i") - 1).alias("i"), "start_time", "end_time", "heard")
     return phoneme_overlap_runs(words, variants, "rec").join(u, "rec").select("audio", "first_word", "n", "start_time", "end_time")
 
 
