@@ -14,6 +14,8 @@ HOT_KEYS = 1000
 def hot_keys(df: DataFrame, on: list[str], rows: int = HOT_ROWS) -> DataFrame | None:
     """``(*on, salts)`` of the hot keys, at most a thousand; None if there are none. ``salts`` is the number of stretches of
     ``rows`` rows a key is cut into."""
+    if df.count() <= rows:
+        return None
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows)
     hot = counts.orderBy(F.desc("__n")).limit(HOT_KEYS).select(*on, F.ceil(F.col("__n") / rows).cast("int").alias("salts"))
     found = hot.collect()
