@@ -71,9 +71,9 @@ def test_word_overlap_of_a_long_recording(spark, tmp_path):
     said[BLOCK_ROWS + 500] = "w4090"  # the beginning of the truth once more, behind a border
     spark.createDataFrame([("a", i, w, float(i), i + 0.5, i) for i, w in enumerate(said)], LONG).write.parquet(str(tmp_path / "utt_offsets.parquet"))
     truth = " ".join(f"w{i}" for i in range(BLOCK_ROWS - 6, BLOCK_ROWS + 5))
-    spark.createDataFrame([("a", truth)], "id string, ground_truth string").write.parquet(str(tmp_path / "utterances.parquet"))
-    got = [(r["utt_id"], r["n"], r["start_time"], r["text"]) for r in word_overlap(spark, str(tmp_path)).collect()]
-    assert got == [("a", 11, float(BLOCK_ROWS - 6), truth)]
+    spark.createDataFrame([("x/a.wav", "a", truth), ("y/a.wav", "a", "w1 w2"), ("z/a.wav", "a", "")], "audio string, id string, ground_truth string").write.parquet(str(tmp_path / "utterances.parquet"))
+    got = sorted((r["audio"], r["n"], r["start_time"], r["text"]) for r in word_overlap(spark, str(tmp_path)).collect())
+    assert got == [("x/a.wav", 11, float(BLOCK_ROWS - 6), truth), ("y/a.wav", 2, 1.0, "w1 w2")]
 
 
 SOUNDS = [
@@ -173,8 +173,8 @@ def test_phoneme_overlap_query_uses_the_lexicons_variants(spark, tmp_path):
 
     # "read" and "red" differ as words and agree as sounds; "zork" is out of the lexicon
     spark.createDataFrame([("a", i, t, float(i), i + 0.5, i) for i, t in enumerate(["red", " ", "Zork", "blue"])], LONG).write.parquet(str(tmp_path / "utt_offsets.parquet"))
-    spark.createDataFrame([("a", "read zork green")], "id string, ground_truth string").write.parquet(str(tmp_path / "utterances.parquet"))
+    spark.createDataFrame([("x/a.wav", "a", "read zork green"), ("y/a.wav", "a", "zork")], "audio string, id string, ground_truth string").write.parquet(str(tmp_path / "utterances.parquet"))
     lexicon = [("red", ["ɹ ɛ d"], "en"), ("read", ["ɹ iː d", "ɹ ɛː d"], "en"), ("blue", ["b l u"], "en"), ("green", ["ɡ ɹ i n"], "en")]
     spark.createDataFrame(lexicon, "word string, pronunciations array<string>, language string").write.parquet(str(tmp_path / "lexicon.parquet"))
-    got = [(r["utt_id"], r["first_word"], r["n"], r["start_time"], r["end_time"]) for r in phoneme_overlap(spark, str(tmp_path)).collect()]
-    assert got == [("a", 0, 2, 0.0, 2.5)]
+    got = [(r["audio"], r["first_word"], r["n"], r["start_time"], r["end_time"]) for r in phoneme_overlap(spark, str(tmp_path)).collect()]
+    assert got == [("x/a.wav", 0, 2, 0.0, 2.5)]
