@@ -48,7 +48,8 @@ _UTF8 = re.compile(rb"[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\x
 _ENTITY = r"&(?:amp;)*(?:[A-Za-z]{2,8}|#\d{2,5}|#x[0-9a-fA-F]{2,4});"
 _WORD = re.compile(r"[^\x00-\x7f]+")
 _RUN = re.compile(rf"(?:[^\x00-\x7f]|{_ENTITY})+")
-_TOKEN = re.compile(r"[^\x00-\x20]+")
+#: A token that isn't ASCII; the look behind keeps the search linear.
+_TOKEN = re.compile(r"(?<![^\x00-\x20])[\x21-\x7f]*+[^\x00-\x7f][^\x00-\x20]*")
 #: What every operation needs: two neighbouring non-ASCII characters, a replacement character or an entity; or a whole
 #: word of another code page, which has two such characters as well.
 NEEDED = r"[^\x00-\x7F]{2}|\x{FFFD}|&(?:amp;)*(?:[A-Za-z]{2,8}|#[0-9]{2,5}|#x[0-9a-fA-F]{2,4});"
@@ -165,7 +166,7 @@ def count_pairs(texts: Iterable[str | None]) -> Counter:
     n: Counter = Counter()
     for t in texts:
         if t and not t.isascii():
-            n.update(set().union(*(_pairs_of(m.group()) for m in _TOKEN.finditer(t) if not m.group().isascii())))
+            n.update(set().union(*map(_pairs_of, set(_TOKEN.findall(t)))))
     return n
 
 
@@ -190,6 +191,7 @@ class Plausibility:
         self._pair: dict[str, float] = {}
         self.search = lru_cache(maxsize=200_000)(self._search)
         self.readings = lru_cache(maxsize=200_000)(self._readings)
+        self.token = lru_cache(maxsize=200_000)(self._token)
 
     def alone(self, y: str) -> float:
         """The cost of a character by its kind and by how often its symbol is seen among the kind's."""
@@ -271,6 +273,14 @@ class Plausibility:
         return out[0][0] - min(c for c, _ in out), tuple(out)
 
 
+    def _token(self, token: str) -> tuple[bool, tuple[tuple[str, float], ...]]:
+        """Whether some run of a token has a cheaper reachable text, and what its words gain at most in a passage."""
+        edge = lambda i: symbol(token[i]) if 0 <= i < len(token) else " "
+        found = any(self.search(m.group(), edge(m.start() - 1), edge(m.end()))[1] for m in _RUN.finditer(token))
+        gains = ((m.group(), self.readings(m.group(), edge(m.start() - 1), edge(m.end()))[0]) for m in _WORD.finditer(token))
+        return found, tuple((w, g) for w, g in gains if g > 0)
+
+
 PRIOR = Plausibility()
 
 
@@ -385,6 +395,17 @@ def restore(text: str, model: Plausibility | None = None) -> tuple[str, list[str
     """``(text restored as far as can be, chains of operations used, replacement characters left)``; without a model by
     the prior alone."""
     model = model or PRIOR
+    if "&" not in text:  # most texts are told to be sound by their tokens
+        gains: dict[str, float] = {}
+        for token in set(_TOKEN.findall(text)):
+            found, words = model.token(token)
+            if found:
+                break
+            for w, g in words:
+                gains[w] = max(g, gains.get(w, 0.0))
+        else:
+            if sum(gains.values()) <= ENTER_COST:
+                return text, [], text.count("�")
     fixed, before = restore_passages(text, model)
     fixed, chains = _restore_runs(fixed, model)
     fixed, after = restore_passages(fixed, model) if chains else (fixed, [])
