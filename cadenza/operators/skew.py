@@ -12,12 +12,12 @@ HOT_KEYS = 1000
 
 
 def hot_keys(df: DataFrame, on: list[str], rows: int = HOT_ROWS) -> DataFrame | None:
-    """``(*on, salts)`` of the hot keys, at most a thousand; None if there are none. ``salts`` is the number of stretches of
+    """``(*on, __salts)`` of the hot keys, at most a thousand; None if there are none. ``__salts`` is the number of stretches of
     ``rows`` rows a key is cut into."""
     if df.count() <= rows:
         return None
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows)
-    hot = counts.orderBy(F.desc("__n")).limit(HOT_KEYS).select(*on, F.ceil(F.col("__n") / rows).cast("int").alias("salts"))
+    hot = counts.orderBy(F.desc("__n")).limit(HOT_KEYS).select(*on, F.ceil(F.col("__n") / rows).cast("int").alias("__salts"))
     found = hot.collect()
     return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
@@ -28,9 +28,9 @@ def join_hot(left: DataFrame, right: DataFrame, on: list[str], spread: Column, h
     hot = hot_keys(left, on, rows)
     if hot is None:
         return left.join(right, on, how)
-    salt = F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("salts")).cast("int")).otherwise(0)
-    salted = left.join(F.broadcast(hot), on, "left").withColumn("__salt", salt).drop("salts")
-    copied = right.join(F.broadcast(hot), on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1))).drop("salts")
+    salt = F.when(F.col("__salts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("__salts")).cast("int")).otherwise(0)
+    salted = left.join(F.broadcast(hot), on, "left").withColumn("__salt", salt).drop("__salts")
+    copied = right.join(F.broadcast(hot), on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))).drop("__salts")
     return salted.join(copied, [*on, "__salt"], how).drop("__salt")
 
 

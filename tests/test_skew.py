@@ -3,7 +3,7 @@ from cadenza.operators.skew import fits, hot_keys, join_hot, join_lookup
 
 def test_join_with_hot_keys(spark):
     left = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(300)] + [(999, None)], "rid int, key string")
-    right = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3), ("other", 4)], "key string, v int")
+    right = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3), ("other", 4)], "key string, salts int")  # a column of that name stays
     assert hot_keys(left, ["key"]) is None
     assert [tuple(r) for r in hot_keys(left, ["key"], rows=50).collect()] == [("hot", 4)]
     for how in ("inner", "left"):
