@@ -40,3 +40,12 @@ def test_query(spark, con, name):
     assert sorted(cols) == sorted(df.columns)
     order = [cols.index(c) for c in sorted(cols)]
     assert sorted(map(repr, rows)) == sorted(repr(tuple(norm(r[i]) for i in order)) for r in got.fetchall())
+
+
+@pytest.mark.parametrize("name", ["p2_found", "p2_classes", "p4_found", "p5_found"])
+def test_query_with_hot_keys_and_no_broadcast(spark, con, name, monkeypatch):
+    from cadenza.operators import skew
+
+    monkeypatch.setattr(skew.join_hot, "__defaults__", ("inner", 10))
+    monkeypatch.setattr(skew.join_lookup, "__defaults__", ("inner", 0))
+    test_query(spark, con, name)
